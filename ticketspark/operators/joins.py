@@ -16,7 +16,8 @@ def attach(df: DataFrame, per_key: DataFrame, on: list[str], how: str = "left",
     of the row itself, so a task that runs again sends each row to the same place.
     """
     left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    right = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    right = per_key.withColumn("_salt", F.explode(every))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
