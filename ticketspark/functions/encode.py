@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # fixed values: city bounding box in degrees
@@ -94,3 +94,17 @@ def shares(cols: list[str]) -> dict[str, Column]:
 def pct_gain(base: Column, new: Column) -> Column:
     """Gain of ``new`` over ``base`` in percent, null when the base is not positive."""
     return F.when(base > 0, (base - new) / base * 100.0)
+
+
+def fit_codes(train: DataFrame, col: str) -> DataFrame:
+    """Code of each training value in sorted order, from 0.
+
+    Categories are few: the rank sees the distinct values only.
+    """
+    values = train.where(F.col(col).isNotNull()).select(col).distinct()
+    return values.withColumn("_code", (F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy(col)) - 1).cast("int"))
+
+
+def apply_codes(df: DataFrame, codes: DataFrame, col: str, out: str) -> DataFrame:
+    """Code of each row, -1 for a value not seen in training; no size is assumed of ``codes``."""
+    return df.join(codes, col, "left").withColumn(out, F.coalesce("_code", F.lit(-1))).drop("_code")
