@@ -6,6 +6,7 @@ from . import (  # noqa: F401
     q_densify,
     q_joins,
     q_metrics,
+    q_models,
     q_scalar,
     q_sources,
     q_spatial,
