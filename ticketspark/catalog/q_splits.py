@@ -103,21 +103,30 @@ def prefixes(spark, d):
 
 _BKEY = fx.key_hash_sql("series_id", "date")
 _P = 2147483647
-_MIX = f"""x1 AS (SELECT *, (slot * 48271 + b * 69621 + 42 * 16807 + 12345) % {_P} AS x FROM x0),
-x2 AS (SELECT * REPLACE ((x * x + b) % {_P} AS x) FROM x1),
-x3 AS (SELECT * REPLACE ((x * 40692 + slot) % {_P} AS x) FROM x2),
-x4 AS (SELECT * REPLACE ((x * x + slot) % {_P} AS x) FROM x3)"""
+
+
+def _mix(source: str, slot: str, stream: str, seed: int, out: str) -> str:
+    """The CTE ``out``: ``source`` with the pseudo-random column x."""
+    return f"""{out}1 AS (SELECT *, {slot} % {_P} AS a_, ({stream}) % {_P} AS b_ FROM {source}),
+{out}2 AS (SELECT *, (a_ * 48271 + b_ * 69621 + {seed} * 16807 + 12345) % {_P} AS x FROM {out}1),
+{out}3 AS (SELECT * REPLACE ((x * x + b_) % {_P} AS x) FROM {out}2),
+{out}4 AS (SELECT * REPLACE ((x * 40692 + a_) % {_P} AS x) FROM {out}3),
+{out} AS (SELECT * REPLACE ((x * x + a_) % {_P} AS x) FROM {out}4)"""
 
 
 def _boot(b: int) -> str:
+    g = "split, model, horizon"
     return f"""{fx.PREDS},
-rows_ AS (SELECT split, model, horizon, y_true - y_pred AS e,
-  row_number() OVER (PARTITION BY split, model, horizon ORDER BY {_BKEY}, series_id, date) AS i,
-  count(*) OVER (PARTITION BY split, model, horizon) AS n FROM preds),
-x0 AS (SELECT split, model, horizon, n, i - 1 AS slot, CAST(b AS BIGINT) AS b FROM rows_, (SELECT unnest(generate_series(1, {b})) AS b)),
-{_MIX},
-boot AS (SELECT x.split, x.model, x.horizon, x.b AS replicate, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse
-  FROM x4 x JOIN rows_ r ON x.split = r.split AND x.model = r.model AND x.horizon = r.horizon AND x.x % x.n + 1 = r.i GROUP BY 1, 2, 3, 4)"""
+rows_ AS (SELECT {g}, y_true - y_pred AS e,
+  row_number() OVER (PARTITION BY {g} ORDER BY {_BKEY}, series_id, date) AS i, count(*) OVER (PARTITION BY {g}) AS n FROM preds),
+sizes AS (SELECT {g}, (i - 1) // 4096 AS block, count(*) AS size FROM rows_ GROUP BY ALL),
+x0 AS (SELECT {g}, n, i - 1 AS slot, CAST(b AS BIGINT) AS b FROM rows_, (SELECT unnest(generate_series(1, {b})) AS b)),
+{_mix("x0", "slot", "b", 42, "xa")},
+hits AS (SELECT {g}, b, (x % n) // 4096 AS block, count(*) AS draws FROM xa GROUP BY ALL),
+y0 AS (SELECT {g}, b, block, unnest(generate_series(1, draws)) AS j FROM hits),
+{_mix("y0", "j", "b * 1000003 + block", 43, "ya")},
+boot AS (SELECT {g}, y.b AS replicate, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse
+  FROM ya y JOIN sizes s USING ({g}, block) JOIN rows_ r USING ({g}) WHERE r.i = block * 4096 + x % size + 1 GROUP BY ALL)"""
 
 
 @query(

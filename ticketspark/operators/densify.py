@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import spread
+
 _DAYS = {"day": 1, "week": 7}
 
 
@@ -152,5 +154,5 @@ def visited_grid(
     """
     counters = F.array(*[F.count_if(F.col(hour) == h) for h in range(24)])
     cells = events.groupBy(date, lat, lon).agg(counters.alias("_by_hour"))
-    rows = cells.select(date, lat, lon, F.posexplode("_by_hour").alias(hour, "ticket_count"))
+    rows = spread(cells, date, lat, lon).select(date, lat, lon, F.posexplode("_by_hour").alias(hour, "ticket_count"))
     return rows.withColumn("label", (F.col("ticket_count") > 0).cast("int"))

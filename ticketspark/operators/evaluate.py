@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, metrics
 from ..functions.encode import pct_gain
 from ..functions.hashing import hash_bucket, key_hash, mix
-from .joins import attach
+from .joins import attach, spread
 from .ordering import exact_quantiles, ranked, running_sums
 from .windows import rolling
 
@@ -199,24 +199,37 @@ def evaluation_summary(best: DataFrame, gains: DataFrame, cover: DataFrame, cv:
     return out.join(gains, "horizon", "left").join(cover, "horizon", "left").join(cv, "horizon", "left")
 
 
+# rows whose errors are kept together as one array
+BLOCK = 4096
+
+
 def bootstrap(
-    preds: DataFrame, by: Sequence[str], key: Sequence[str], replicates: int = 1000, seed: int = 42
+    preds: DataFrame, by: Sequence[str], key: Sequence[str], replicates: int = 1000, seed: int = 42, block: int = BLOCK
 ) -> DataFrame:
     """Resampled MAE and RMSE: per group and replicate, n draws with replacement from its n rows.
 
-    Rows get a number within their group, draws meet them by that number. Both sides are keyed by
-    group and number, so a large group is spread over all tasks. Null predictions are left out.
+    Rows are numbered within their group and cut into blocks. A first draw per row picks a block, and
+    only the number of draws per block is shuffled. The draws within a block are then made where its
+    errors are. Draws themselves never move, and a large group is spread over its blocks. Null
+    predictions are left out.
     """
     e = (F.col("y_true") - F.col("y_pred")).cast("double")
     rows = preds.select(*by, *key, e.alias("_e")).where(F.col("_e").isNotNull())
-    # the bucket comes from the key alone, so it is computed per row and keeps groups spread
-    h = key_hash(*[F.col(k) for k in key], seed=seed)
-    rows = ranked(rows.withColumn("_h", h), by, hash_bucket(F.col("_h"), 6), [F.col("_h"), *[F.col(k) for k in key]], "_i", "_n")
-    draws = rows.select(*by, "_n", (F.col("_i") - 1).alias("_slot"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
-    pick = F.pmod(mix(F.col("_slot"), F.col("replicate"), seed), F.col("_n")) + 1
-    draws = draws.select(*by, "replicate", pick.alias("_i"))
-    joined = draws.join(rows.select(*by, "_i", "_e"), [*by, "_i"])
-    return joined.groupBy(*by, "replicate").agg(
+    rows = rows.withColumn("_h", key_hash(*[F.col(k) for k in key], seed=seed))
+    order = [F.col("_h"), *[F.col(k) for k in key]]
+    rows = ranked(rows, by, hash_bucket(F.col("_h")), order, "_i", "_n").withColumn("_block", F.floor((F.col("_i") - 1) / block))
+    errors = F.transform(F.sort_array(F.collect_list(F.struct("_i", "_e"))), lambda x: x["_e"])
+    blocks = rows.groupBy(*by, "_block").agg(errors.alias("_es"))
+    slots = spread(rows.select(*by, "_n", (F.col("_i") - 1).alias("_slot")), *by, "_slot")
+    first = slots.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    to = F.floor(F.pmod(mix(F.col("_slot"), F.col("replicate"), seed), F.col("_n")) / block)
+    counts = first.groupBy(*by, "replicate", to.alias("_block")).agg(F.count(F.lit(1)).alias("_draws"))
+    meet = spread(counts, *by, "replicate", "_block").join(blocks, [*by, "_block"])
+    draws = meet.withColumn("_j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_draws"))))
+    stream = F.col("replicate") * F.lit(1000003).cast("long") + F.col("_block")
+    at = F.pmod(mix(F.col("_j"), stream, seed + 1), F.size("_es")).cast("int")
+    drawn = draws.select(*by, "replicate", F.get("_es", at).alias("_e"))
+    return drawn.groupBy(*by, "replicate").agg(
         F.avg(F.abs("_e")).alias("mae"), F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse")
     )
 

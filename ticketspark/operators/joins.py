@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 SALTS = 16
 
+# rows of a key table that may be broadcast; key tables are a few narrow columns, so some tens of megabytes
+BROADCAST_ROWS = 200_000
+
+
+def attach(df: DataFrame, per_key: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join a small table of keys to a table with many rows per key. Runs the job that builds the key table.
+
+    The key table is written once and counted. Up to ``BROADCAST_ROWS`` rows it is broadcast, and the
+    large side is not moved at all. Above that the join is salted.
+    """
+    table = materialize(per_key, "per-key")
+    if table.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(table), on, how)
+    return salted_join(df, table, on, how)
+
 
-def attach(df: DataFrame, per_key: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Join a table with one row per key to a table with many rows per key.
+def salted_join(df: DataFrame, per_key: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Equi-join that spreads the rows of a hot key over ``salts`` tasks.
 
-    No size of ``per_key`` is assumed: adaptive execution broadcasts it when the measured size is
-    small. Otherwise the salt spreads the rows of a hot key over ``salts`` tasks; the salt is a hash
-    of the row itself, so a task that runs again sends each row to the same place.
+    The salt is a hash of the row itself, so a task that runs again sends each row to the same place.
     """
     left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
     every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
@@ -21,6 +36,14 @@ def attach(df: DataFrame, per_key: DataFrame, on: list[str], how: str = "left",
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle to the configured number of partitions, for rows that are about to grow.
+
+    Adaptive execution merges partitions by their size before the growth; a given number is kept.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def left_join(a: DataFrame, b: DataFrame, on: list[str], fill: float | None = None) -> DataFrame:
     """Left equi-join; ``fill`` replaces nulls in the numeric columns that ``b`` brings."""
     out = a.join(b, on, "left")

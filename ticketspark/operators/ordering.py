@@ -63,7 +63,8 @@ def hash_cuts(
 
     ``wanted`` maps a name to a rank given as a column over ``n``, the group size. A cut is null when
     its rank is below one, and the largest value when it is at or above n. One row per group comes
-    back, so a sample is a filter against it: no row of the data is moved to be sampled.
+    back, so a sample is a filter against it: no row of the data is moved to be sampled. Runs the job
+    that finds the ranges holding the wanted ranks.
     """
     rows = df.select(*dict.fromkeys([*by, *key])).withColumn("_hash", key_hash(*[F.col(k) for k in key], seed=seed))
     rows = rows.withColumn("_bucket", hash_bucket(F.col("_hash")))
@@ -71,7 +72,7 @@ def hash_cuts(
     goals = F.array(*[F.struct(F.lit(name).alias("cut"), F.least(rank.cast("long"), F.col("n")).alias("goal")) for name, rank in wanted.items()])
     edges = starts.select(*by, "_bucket", "_before", "_size", F.inline(goals))
     edges = edges.where((F.col("goal") > F.col("_before")) & (F.col("goal") <= F.col("_before") + F.col("_size")))
-    edge_rows = rows.join(edges, [*by, "_bucket"])
+    edge_rows = attach(rows, edges, [*by, "_bucket"], "inner")
     order = F.struct("_hash", *key)
     w = Window.partitionBy(*by, "cut").orderBy(order)
     hit = edge_rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == F.col("goal") - F.col("_before"))

@@ -100,7 +100,7 @@ def dist_center(df: DataFrame, lat: str = "latitude", lon: str = "longitude", ou
     return df.withColumn(out, F.hypot(F.col(lat) - mid[0], F.col(lon) - mid[1]))
 
 
-def nearest_cells(points: DataFrame, cells: DataFrame, fan: int = 4, id_col: str = "grid_id") -> DataFrame:
+def nearest_cells(points: DataFrame, cells: DataFrame, fan: int = 8, id_col: str = "grid_id") -> DataFrame:
     """Nearest known cell of each distinct point in whole cell units, the smallest id on a tie.
 
     Descends from one bucket that covers all cells to single cells. A bucket stays a candidate while
