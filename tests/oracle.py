@@ -6,12 +6,16 @@
 from __future__ import annotations
 
 import argparse
+import contextlib
 import datetime as dt
+import io
 import math
 import time
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-KINDS = {"int": "int", "lon": "int", "big": "int", "sma": "int", "tin": "int", "dou": "float", "flo": "float", "dec": "float"}
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean",
+}
 
 
 def connect(directory: str):
@@ -38,6 +42,21 @@ def rows_of(names, rows):
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
+def plan_text(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("simple")
+    return out.getvalue()
+
+
+def plan_nodes(df) -> list[str]:
+    """Plan nodes that need a reason: products, nested loops, windows and limits on one task."""
+    lines = [line.strip(" :+-|") for line in plan_text(df).splitlines()]
+    found = [n[:90] for n in lines if n.startswith(("CartesianProduct", "BroadcastNestedLoopJoin"))]
+    found += [n[:160] for n in lines if n.startswith("Window") and ("], []" in n or "specifiedwindowframe" in n and ", [1]" in n)]
+    return found
+
+
 def compare(df, con, sql: str) -> str | None:
     """None when equal, else what differs."""
     got = df.collect()
@@ -46,6 +65,10 @@ def compare(df, con, sql: str) -> str | None:
     want = cur.fetchall()
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = dict(df.dtypes)
+    wrong = [(c[0], types[c[0]], str(c[1])) for c in cur.description if TYPES.get(str(c[1])) != types[c[0]]]
+    if wrong:
+        return f"types {wrong}"
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
     a, b = rows_of(df.columns, got), rows_of(names, want)
@@ -78,6 +101,8 @@ def main() -> None:
             df = fn(spark, args.d)
             if args.explain:
                 df.explain("formatted")
+            for node in plan_nodes(df):
+                print(f"     {name}: {node}")
             if name in oracles:
                 diff = compare(df, con, oracles[name])
                 n = ""

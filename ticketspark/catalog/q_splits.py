@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import encode
 from ..operators import densify, evaluate, splits
+from ..session import materialize
 from . import fixtures as fx
 from .q_densify import _VISITED
 from .registry import query, r6, s6
@@ -146,7 +147,8 @@ SELECT p.split, p.model, p.horizon, {s6("mae", "mae")}, {s6("a", "mae_lo")}, {s6
 FROM p JOIN q ON p.split = q.split AND p.model = q.model AND p.horizon = q.horizon""",
 )
 def bootstrap_interval(spark, d):
-    x = evaluate.bootstrap_ci(fx.predictions(spark, d), key=["series_id", "date"], replicates=100)
+    preds = materialize(fx.predictions(spark, d), "predictions")
+    x = evaluate.bootstrap_ci(preds, key=["series_id", "date"], replicates=100)
     return x.select("split", "model", "horizon", *[r6(c, c) for c in ("mae", "mae_lo", "mae_hi", "rmse", "rmse_lo", "rmse_hi")], "n")
 
 

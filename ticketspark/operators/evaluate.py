@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, metrics
 from ..functions.encode import pct_gain
 from ..functions.hashing import hash_bucket, key_hash, mix
+from ..session import materialize
 from .joins import attach, spread
 from .ordering import exact_quantiles, ranked, running_sums
 from .windows import rolling
@@ -211,13 +212,15 @@ def bootstrap(
     Rows are numbered within their group and cut into blocks. A first draw per row picks a block, and
     only the number of draws per block is shuffled. The draws within a block are then made where its
     errors are. Draws themselves never move, and a large group is spread over its blocks. Null
-    predictions are left out.
+    predictions are left out. Runs the job that numbers the rows.
     """
     e = (F.col("y_true") - F.col("y_pred")).cast("double")
     rows = preds.select(*by, *key, e.alias("_e")).where(F.col("_e").isNotNull())
     rows = rows.withColumn("_h", key_hash(*[F.col(k) for k in key], seed=seed))
     order = [F.col("_h"), *[F.col(k) for k in key]]
     rows = ranked(rows, by, hash_bucket(F.col("_h")), order, "_i", "_n").withColumn("_block", F.floor((F.col("_i") - 1) / block))
+    # written once: the blocks and the draws both start from the numbered errors
+    rows = materialize(rows.select(*by, "_i", "_n", "_block", "_e"), "numbered-errors")
     errors = F.transform(F.sort_array(F.collect_list(F.struct("_i", "_e"))), lambda x: x["_e"])
     blocks = rows.groupBy(*by, "_block").agg(errors.alias("_es"))
     slots = spread(rows.select(*by, "_n", (F.col("_i") - 1).alias("_slot")), *by, "_slot")

@@ -39,9 +39,10 @@ def salted_join(df: DataFrame, per_key: DataFrame, on: list[str], how: str = "le
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Shuffle to the configured number of partitions, for rows that are about to grow.
 
-    Adaptive execution merges partitions by their size before the growth; a given number is kept.
+    Adaptive execution merges partitions by their size before the growth; a given number is kept. The
+    hash makes this a partitioning of its own, which the planner does not fold into an earlier one.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*keys))
 
 
 def left_join(a: DataFrame, b: DataFrame, on: list[str], fill: float | None = None) -> DataFrame:

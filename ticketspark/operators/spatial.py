@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import attach
 from .ordering import exact_quantiles, group_medians
 
@@ -105,9 +106,12 @@ def nearest_cells(points: DataFrame, cells: DataFrame, fan: int = 8, id_col: str
 
     Descends from one bucket that covers all cells to single cells. A bucket stays a candidate while
     its nearest corner is no further than the far corner of the best one, so few remain per point
-    and the result is exact. No point is paired with all cells. Brings four bounds to the driver.
+    and the result is exact. No point is paired with all cells. Writes the cell table once and brings
+    four bounds to the driver.
     """
     lat, lon = CELL
+    # every level reads the cell table
+    cells = materialize(cells.select(lat, lon, id_col), "cells")
     ends = cells.agg(F.min(lat), F.max(lat), F.min(lon), F.max(lon)).first()
     if ends[0] is None:
         return points.select(lat, lon).distinct().withColumn(id_col, F.lit(None).cast("long"))
