@@ -46,13 +46,15 @@ def densify(
     w = Window.partitionBy(*by).orderBy(date)
     here, following = F.col(date), F.lead(date).over(w)
     lo, hi = here, F.greatest(_shift(following, step, -1), here)
+    wide = df
     if span == "all":
         bounds = df.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))).scalar()
-        lo = F.when(F.lag(date).over(w).isNull(), bounds.getField("lo")).otherwise(here)
-        hi = F.when(following.isNull(), bounds.getField("hi")).otherwise(hi)
+        wide = df.withColumn("_bounds", bounds)
+        lo = F.when(F.lag(date).over(w).isNull(), F.col("_bounds.lo")).otherwise(here)
+        hi = F.when(following.isNull(), F.col("_bounds.hi")).otherwise(hi)
     else:
         hi = F.coalesce(hi, here)
-    wide = df.withColumns({"_lo": lo, "_hi": hi})
+    wide = wide.withColumns({"_lo": lo, "_hi": hi})
     rows = wide.withColumn("_step", F.explode(_steps(F.col("_lo"), F.col("_hi"), step)))
     added = F.col("_step") != F.col(date)
     out = []

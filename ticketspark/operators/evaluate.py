@@ -173,15 +173,15 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     ends = rows.agg(
         F.struct(F.when(flat, lo - 0.5).otherwise(lo).alias("lo"), F.when(flat, hi + 0.5).otherwise(hi).alias("hi"))
     ).scalar()
-    width = (ends.getField("hi") - ends.getField("lo")) / bins
-    slot = F.least(F.floor((F.col("_v") - ends.getField("lo")) / width), F.lit(bins - 1)).cast("int")
-    counts = rows.groupBy(*by, slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    lo, width = F.col("_ends.lo"), (F.col("_ends.hi") - F.col("_ends.lo")) / bins
+    slot = F.least(F.floor((F.col("_v") - lo) / width), F.lit(bins - 1)).cast("int")
+    counts = rows.withColumn("_ends", ends).groupBy(*by, slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     packed = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
     full = packed.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return full.select(
+    return full.withColumn("_ends", ends).select(
         *by,
         "bin",
-        (ends.getField("lo") + F.col("bin") * width).alias("left_edge"),
+        (lo + F.col("bin") * width).alias("left_edge"),
         F.coalesce(F.try_element_at("_n", F.col("bin")), F.lit(0)).cast("long").alias("n"),
     )
 

@@ -108,17 +108,17 @@ def rolling_origin(
     ends = df.agg(
         F.struct(F.date_add(F.min(date), warmup).alias("lo"), F.date_sub(F.max(date), tail).alias("hi"))
     ).scalar()
-    span = F.date_diff(ends.getField("hi"), ends.getField("lo"))
+    lo, hi = F.col("_ends.lo"), F.col("_ends.hi")
     folds = F.array(
         *[
             F.struct(
                 F.lit(i).alias("fold"),
-                F.date_add(ends.getField("lo"), F.floor(span * F.lit(i) / F.lit(k)).cast("int")).alias("cutoff"),
+                F.date_add(lo, F.floor(F.date_diff(hi, lo) * F.lit(i) / F.lit(k)).cast("int")).alias("cutoff"),
             )
             for i in range(1, k + 1)
         ]
     )
-    rows = df.select("*", F.inline(folds))
+    rows = df.withColumn("_ends", ends).select(*df.columns, F.inline(folds))
     return rows.withColumn("split", F.when(F.col(date) <= F.col("cutoff"), "train").otherwise("test"))
 
 
