@@ -147,13 +147,15 @@ def exact_quantiles(
     else:
         one = bounds.select(F.struct("_n", "_marks")).scalar()
         marked = counts.withColumn("_one", one).select("_v", "_c", F.col("_one._n").alias("_n"), F.col("_one._marks").alias("_marks"))
+    # up to ``accuracy`` rows the bracket is the whole group; above, its margin is four ranks or more
+    small = F.col("_n") <= accuracy
     wanted = F.array(
         *[
             F.struct(
                 F.lit(name).alias("_q"),
                 (F.lit(float(p)) * (F.col("_n") - 1)).alias("_pos"),
-                F.col("_marks")[2 * i].alias("_lo"),
-                F.col("_marks")[2 * i + 1].alias("_hi"),
+                F.when(small, F.lit(float("-inf"))).otherwise(F.col("_marks")[2 * i]).alias("_lo"),
+                F.when(small, F.lit(float("inf"))).otherwise(F.col("_marks")[2 * i + 1]).alias("_hi"),
             )
             for i, (name, p) in enumerate(probs.items())
         ]
