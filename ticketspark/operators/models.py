@@ -83,10 +83,12 @@ def lasso_cv(
 
 
 def forest(trees: int = 500, seed: int = 42, depth: int = 10) -> Fit:
-    """Random forest."""
+    """Random forest in which every split may use every feature."""
 
     def fit(df: DataFrame, features: Sequence[str]) -> PipelineModel:
-        model = RandomForestRegressor(labelCol=LABEL, numTrees=trees, seed=seed, maxDepth=depth)
+        model = RandomForestRegressor(
+            labelCol=LABEL, numTrees=trees, seed=seed, maxDepth=depth, featureSubsetStrategy="all"
+        )
         return Pipeline(stages=[_assembler(features), model]).fit(df)
 
     return fit

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,15 +26,17 @@ def get_session(app: str = "ticketspark", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="ticketspark-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared directory the cluster names.
 
     Only a session without ``spark.checkpoint.dir`` (a test on one machine) gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="ticketspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
     return f"{base.rstrip('/')}/ticketspark/{name}-{uuid.uuid4().hex}"
 
 
