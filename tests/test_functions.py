@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import column, days, rows
 from ticketspark.functions import calendar, encode, hashing, metrics, parse
-from ticketspark.operators import clean, profile
+from ticketspark.operators import aggregate, clean, profile
 
 
 def _dates(spark, values):
@@ -104,7 +104,7 @@ def test_shares_sum_to_one_or_zero(spark):
 def test_codes_of_unseen_values(spark):
     train = spark.createDataFrame([("b",), ("a",), ("b",)], "v string")
     test = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "v string")
-    got = encode.apply_codes(test, encode.fit_codes(train, "v"), "v", "code")
+    got = aggregate.apply_codes(test, aggregate.fit_codes(train, "v"), "v", "code")
     assert {r["v"]: r["code"] for r in got.collect()} == {"a": 0, "b": 1, "z": -1, None: -1}
 
 

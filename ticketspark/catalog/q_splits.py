@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import encode
-from ..operators import densify, evaluate, splits
+from ..operators import aggregate, densify, evaluate, splits
 from ..session import materialize
 from . import fixtures as fx
 from .q_densify import _VISITED
@@ -170,5 +169,5 @@ _CODE = fx.CELLS + """, c AS (SELECT event_type, dense_rank() OVER (ORDER BY eve
 )
 def codes(spark, d):
     e = fx.cell_events(spark, d)
-    fitted = encode.fit_codes(e.where("date <= DATE '2024-01-20' AND event_type <> 'error'"), "event_type")
-    return encode.apply_codes(e, fitted, "event_type", "code").select("event_id", "code")
+    fitted = aggregate.fit_codes(e.where("date <= DATE '2024-01-20' AND event_type <> 'error'"), "event_type")
+    return aggregate.apply_codes(e, fitted, "event_type", "code").select("event_id", "code")

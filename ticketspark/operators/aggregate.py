@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar
+from .joins import attach
+from .ordering import dense_ids
 
 OTHER = "OTHER"
 
@@ -115,7 +117,16 @@ def group_mean(df: DataFrame, key: str, target: str, out: str) -> DataFrame:
 
     Aggregates first and joins back with a salt: a window by key would put a hot key on one task.
     """
-    from .joins import attach
-
     means = df.groupBy(key).agg(F.avg(target).alias(out))
     return attach(df, means, [key])
+
+
+def fit_codes(train: DataFrame, col: str) -> DataFrame:
+    """Code of each training value in sorted order, from 0. Runs the job that sorts the distinct values."""
+    values = train.where(F.col(col).isNotNull()).select(col).distinct()
+    return dense_ids(values, col, "_code").withColumn("_code", F.col("_code").cast("int"))
+
+
+def apply_codes(df: DataFrame, codes: DataFrame, col: str, out: str) -> DataFrame:
+    """Code of each row, -1 for a value not seen in training."""
+    return attach(df, codes, [col]).withColumn(out, F.coalesce("_code", F.lit(-1))).drop("_code")

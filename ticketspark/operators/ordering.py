@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket, key_hash
+from ..session import materialize
 from .joins import attach
 
-RANGES = 64
-
 
 def _starts(df: DataFrame, by: Sequence[str], bucket: str) -> DataFrame:
     """Rows per range, the rows before it and the rows of the whole group.
@@ -85,36 +84,33 @@ def order_value(key: Sequence[str], seed: int = 42) -> Column:
     return F.struct(key_hash(*[F.col(k) for k in key], seed=seed).alias("_hash"), *key)
 
 
-def split_points(df: DataFrame, col: str, ranges: int = RANGES) -> list[float]:
-    """Values that cut ``col`` into ranges of about equal size; brings at most ``ranges`` numbers to the driver."""
-    probs = [i / ranges for i in range(1, ranges)]
-    got = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10 * ranges)).first()[0] or []
-    return sorted(set(got))
-
+def in_ranges(df: DataFrame, order: str, out: str = "_range") -> DataFrame:
+    """Rows with the number of their range, ranges rising with ``order``. Runs the job that writes them.
 
-def range_of(c: Column, points: Sequence[float]) -> Column:
-    """Index of the range of a value: how many points are at or below it."""
-    if not points:
-        return F.lit(0)
+    A range is a partition of Spark's own range shuffle. Writing the rows fixes its number, so later
+    stages agree on it whatever is run again.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(n, order).withColumn(out, F.spark_partition_id()), "ranges")
 
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < points[mid], pick(lo, mid)).otherwise(pick(mid + 1, hi))
 
-    return pick(0, len(points))
+def dense_ids(values: DataFrame, col: str, out: str) -> DataFrame:
+    """Position from 0 of each of many distinct values in sorted order."""
+    rows = in_ranges(values, col)
+    numbered = ranked(rows, (), F.col("_range"), [F.col(col)], out, "_n")
+    return numbered.select(*values.columns, (F.col(out) - 1).alias(out))
 
 
-def running_sums(df: DataFrame, order: str, sums: Sequence[str], descending: bool = False, ranges: int = RANGES) -> DataFrame:
-    """Totals of all rows up to and including each one, in the order of a numeric column.
+def running_sums(df: DataFrame, order: str, sums: Sequence[str], descending: bool = False) -> DataFrame:
+    """Totals of all rows up to and including each one, in the order of a column.
 
-    Adds ``cum_<name>``. Order values must be unique (aggregate by them first). Needs one small job for the ranges.
+    Adds ``cum_<name>``. Order values must be unique (aggregate by them first). Totals of whole
+    ranges give each range its start, and rows are only ordered within their range.
     """
-    rows = df.withColumn("_range", range_of(F.col(order).cast("double"), split_points(df, order, ranges)))
+    rows = in_ranges(df, order)
     per_range = rows.groupBy("_range").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     step = F.desc if descending else F.asc
-    # one row per range here, so this window without keys holds at most ``ranges`` rows
+    # one row per range here, so this window without keys holds as many rows as there are shuffle partitions
     outer = Window.partitionBy(F.lit(1)).orderBy(step("_range"))
     starts = per_range.select("_range", *[(F.sum(f"_t_{s}").over(outer) - F.col(f"_t_{s}")).alias(f"_b_{s}") for s in sums])
     inner = Window.partitionBy("_range").orderBy(step(order))

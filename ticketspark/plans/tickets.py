@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar
 from ..operators import aggregate, clean, densify, evaluate, models, spatial, splits, windows
+from ..session import materialize
 
 # fixed values: how many agencies and violation codes keep their own column
 TOP_AGENCIES, TOP_VIOLATIONS = 10, 20
@@ -54,7 +55,7 @@ def daily_matrix(
     df = windows.add_rolling(df, "tickets", [(7, "mean")], min_periods=1, name="_ma")
     df = df.withColumnRenamed("_ma_roll7_mean", "ma_7")
     if lagged_counts and names:
-        w = windows._order(windows.SERIES, "date")
+        w = Window.partitionBy(*windows.SERIES).orderBy("date")
         df = df.withColumns({c: F.coalesce(F.lag(c, 1).over(w), F.lit(0)) for c in names})
     return df
 
@@ -71,8 +72,10 @@ def fit_and_forecast(
     """Test predictions, their metrics and the forecast of the days after the last one.
 
     Fits on the first part of each series, learns the scale on validation rows, reports on the rest.
+    The matrix is written once, as every fit reads it.
     """
     features = matrix_features(matrix)
+    matrix = materialize(matrix, "daily-matrix")
     rows = windows.add_targets(splits.fraction_split(matrix), "tickets", horizons)
     preds, fitted = models.train_all(rows, fits, features, horizons)
     keys = ["model", "horizon"]
