@@ -62,12 +62,82 @@ def forecast(spark, d):
     return ahead
 
 
-@query("l7_seasonal_autoregression")
+_SUP = fx.DAILY + """,
+numbered AS (SELECT series_id, date, CAST(num_violations AS DOUBLE) AS y, row_number() OVER o AS i, count(*) OVER (PARTITION BY series_id) AS n,
+  CAST(lag(num_violations, 7) OVER o AS DOUBLE) AS x, lead(num_violations, 1) OVER o AS t1, lead(num_violations, 3) OVER o AS t3,
+  lead(num_violations, 7) OVER o AS t7 FROM daily WINDOW o AS (PARTITION BY series_id ORDER BY date)),
+sup AS (SELECT series_id, date, x, CAST(h AS INTEGER) AS horizon, CAST(CASE h WHEN 1 THEN t1 WHEN 3 THEN t3 ELSE t7 END AS DOUBLE) AS t
+  FROM numbered, (SELECT unnest([1, 3, 7]) AS h) WHERE i > 30 AND i <= n - 7)"""
+
+
+@query(
+    "l1_one_feature_fit",
+    f"""WITH {_SUP}, c AS (SELECT horizon, regr_slope(t, x) AS b, regr_intercept(t, x) AS a FROM sup WHERE date <= DATE '1999-12-31' GROUP BY 1),
+e AS (SELECT horizon, t - (a + b * x) AS e FROM sup JOIN c USING (horizon) WHERE date > DATE '2000-12-31')
+SELECT 'LinearRegression' AS model, horizon, {s6("avg(abs(e))", "mae")}, {s6("sqrt(avg(e * e))", "rmse")}, count(*) AS n FROM e GROUP BY horizon""",
+)
+def one_feature(spark, d):
+    """The least-squares path of the training loop against SQL regression functions."""
+    rows, _ = _supervised(spark, d)
+    preds, _ = models.train_all(rows, {"LinearRegression": models.linear}, ["num_violations_lag_7"])
+    x = evaluate.summarize(preds.where("split = 'test'"), ["model", "horizon"])
+    return x.select("model", "horizon", r6("mae", "mae"), r6("rmse", "rmse"), "n")
+
+
+@query(
+    "l10_backtest_one_feature",
+    f"""WITH {_SUP}, m AS (SELECT min(date) + 365 AS lo, max(date) - 90 AS hi FROM sup),
+f AS (SELECT CAST(k AS INTEGER) AS fold, CAST(lo + CAST((hi - lo) * k // 3 AS INTEGER) AS DATE) AS cutoff FROM m, (SELECT unnest([1, 2, 3]) AS k)),
+r AS (SELECT * FROM sup, f),
+c AS (SELECT fold, horizon, regr_slope(t, x) AS b, regr_intercept(t, x) AS a FROM r WHERE date <= cutoff GROUP BY 1, 2),
+e AS (SELECT fold, horizon, t - (a + b * x) AS e FROM r JOIN c USING (fold, horizon) WHERE date > cutoff)
+SELECT fold, horizon, {s6("avg(abs(e))", "mae")}, {s6("sqrt(avg(e * e))", "rmse")} FROM e GROUP BY 1, 2""",
+)
+def backtest_one_feature(spark, d):
+    rows, _ = _supervised(spark, d)
+    x = models.backtest(rows, models.linear, ["num_violations_lag_7"])
+    return x.select("fold", "horizon", r6("mae", "mae"), r6("rmse", "rmse"))
+
+
+def _ar_sql() -> str:
+    w = "OVER (PARTITION BY series_id ORDER BY date)"
+
+    def det(cols):
+        (p, q, r), (s, t, u), (v, x, y) = zip(*cols)
+        return f"({p} * ({t} * {y} - {u} * {x}) - {q} * ({s} * {y} - {u} * {v}) + {r} * ({s} * {x} - {t} * {v}))"
+
+    names = ["z1", "z7", "z8"]
+    cov = {(i, j): f"covar_pop({i}, {j})" for i in names for j in names}
+    cols = [[cov[i, j] for i in names] for j in names]
+    right = [f"covar_pop({i}, z)" for i in names]
+    solved = []
+    for k, name in enumerate(("b1", "b7", "b8")):
+        swapped = [right if i == k else c for i, c in enumerate(cols)]
+        solved.append(f"{det(swapped)} / {det(cols)} AS {name}")
+    sql = f"""WITH {fx.DAILY},
+y0 AS (SELECT series_id, date, CAST(num_violations AS DOUBLE) AS y FROM daily),
+d0 AS (SELECT *, (y - lag(y) {w}) - (lag(y, 7) {w} - lag(y, 8) {w}) AS z FROM y0),
+p0 AS (SELECT *, lag(z, 1) {w} AS z1, lag(z, 7) {w} AS z7, lag(z, 8) {w} AS z8 FROM d0),
+fit0 AS (SELECT * FROM p0 WHERE date <= DATE '1999-12-31' AND z IS NOT NULL AND z8 IS NOT NULL),
+fit1 AS (SELECT {", ".join(solved)}, avg(z) AS mz, avg(z1) AS m1, avg(z7) AS m7, avg(z8) AS m8 FROM fit0),
+fit AS (SELECT *, mz - b1 * m1 - b7 * m7 - b8 * m8 AS a FROM fit1),
+s0 AS (SELECT d0.*, fit.*, {", ".join(f"lag(z, {k}) {w} AS zb{k}, lag(y, {k}) {w} AS yb{k}" for k in range(8))},
+  lead(y, 1) {w} AS t1, lead(y, 3) {w} AS t3, lead(y, 7) {w} AS t7, z AS g0, y AS f0 FROM d0, fit)"""
+    for k in range(1, 8):
+        sql += f",\nu{k} AS (SELECT *, a + b1 * g{k - 1} + b7 * zb{7 - k} + b8 * zb{8 - k} AS g{k} FROM s{k - 1})"
+        sql += f",\ns{k} AS (SELECT *, g{k} + f{k - 1} + yb{7 - k} - yb{8 - k} AS f{k} FROM u{k})"
+    parts = [
+        f"SELECT CAST({h} AS INTEGER) AS horizon, {s6(f'avg(abs(t{h} - f{h}))', 'mae')}, count(*) AS n FROM s7 WHERE t{h} IS NOT NULL AND f{h} IS NOT NULL"
+        for h in (1, 3, 7)
+    ]
+    return sql + "\n" + " UNION ALL ".join(parts)
+
+
+@query("l7_seasonal_autoregression", _ar_sql())
 def seasonal(spark, d):
     x = models.seasonal_ar(fx.daily(spark, d), "num_violations", F.col("date") <= F.lit(fx.TRAIN_END).cast("date"))
-    return x.where("y_true IS NOT NULL").groupBy("horizon").agg(
-        F.avg(F.abs(F.col("y_true") - F.col("y_pred"))).alias("mae"), F.count(F.lit(1)).alias("n")
-    )
+    error = F.avg(F.abs(F.col("y_true") - F.col("y_pred")))
+    return x.where("y_true IS NOT NULL").groupBy("horizon").agg(r6(error, "mae"), F.count(F.lit(1)).alias("n"))
 
 
 def _geo_events(spark, d):
