@@ -122,7 +122,7 @@ def running_sums(df: DataFrame, order: str, sums: Sequence[str], descending: boo
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), accuracy: int = 2000
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), accuracy: int = 10_000
 ) -> DataFrame:
     """Linear-interpolated quantiles per group, exact at any group size.
 

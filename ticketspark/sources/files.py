@@ -124,13 +124,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
-    """Write a table, one folder per partition value; rows are gathered by those values first.
+    """Write a table, one folder per partition value.
 
-    The extra hash keeps a large partition value on several writers.
+    Rebalancing gathers the rows of each value, joins small ones and splits a large one by its size.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(8))
-        df = df.repartition(*[F.col(c) for c in partition_by], spread)
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt)
     writer = writer.partitionBy(*partition_by) if partition_by else writer
     (writer.option("header", True) if fmt == "csv" else writer).save(path)
