@@ -42,10 +42,10 @@ def rows_of(names, rows):
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
-def plan_text(df) -> str:
+def plan_text(df, mode: str = "simple") -> str:
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
-        df.explain("simple")
+        df.explain(mode)
     return out.getvalue()
 
 
