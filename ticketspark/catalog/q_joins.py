@@ -121,8 +121,8 @@ cov AS (SELECT p.horizon, avg(CASE WHEN y_true BETWEEN y_pred - alpha AND y_pred
 folds AS (SELECT year(date) AS fold, horizon, avg(abs(y_true - y_pred)) AS mae FROM preds WHERE model = 'mean7' GROUP BY 1, 2),
 cv AS (SELECT horizon, avg(mae) AS mae_mean, stddev_samp(mae) AS mae_std FROM folds GROUP BY 1)
 SELECT best.horizon, best.model AS best_overall, {s6("best.mae", "best_mae")}, {s6("best.rmse", "best_rmse")}, {s6("best.mape", "best_mape")},
-  best_base.model AS best_baseline, round_even(best_base.mae, 2) AS best_baseline_mae, round_even(best_base.mae - best.mae, 2) AS abs_improvement,
-  round_even((best_base.mae - best.mae) / best_base.mae * 100, 2) AS pct_improvement, CAST(0.9 AS DOUBLE) AS nominal, {s6("empirical", "empirical")},
+  best_base.model AS best_baseline, round_even((best_base.mae) * 100, 0) / 100 AS best_baseline_mae, round_even((best_base.mae - best.mae) * 100, 0) / 100 AS abs_improvement,
+  round_even((best_base.mae - best.mae) / best_base.mae * 100 * 100, 0) / 100 AS pct_improvement, CAST(0.9 AS DOUBLE) AS nominal, {s6("empirical", "empirical")},
   {s6("mae_mean", "mae_mean")}, {s6("mae_std", "mae_std")}
 FROM best JOIN best_base ON best.horizon = best_base.horizon JOIN cov ON best.horizon = cov.horizon JOIN cv ON best.horizon = cv.horizon""",
 )

@@ -129,8 +129,8 @@ def by_group(spark, d):
     f"""WITH {fx.PREDS}, {fx.BOARD},
 a AS (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY mae, model) AS rn FROM board),
 b AS (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY mae, model) AS rn FROM board WHERE model IN ('last', 'seasonal'))
-SELECT a.horizon, b.model AS best_baseline, round_even(b.mae, 2) AS best_baseline_mae, a.model AS best_overall, round_even(a.mae, 2) AS best_overall_mae,
-  round_even(b.mae - a.mae, 2) AS abs_improvement, round_even((b.mae - a.mae) / b.mae * 100, 2) AS pct_improvement
+SELECT a.horizon, b.model AS best_baseline, round_even((b.mae) * 100, 0) / 100 AS best_baseline_mae, a.model AS best_overall, round_even((a.mae) * 100, 0) / 100 AS best_overall_mae,
+  round_even((b.mae - a.mae) * 100, 0) / 100 AS abs_improvement, round_even((b.mae - a.mae) / b.mae * 100 * 100, 0) / 100 AS pct_improvement
 FROM a JOIN b ON a.horizon = b.horizon AND a.rn = 1 AND b.rn = 1""",
 )
 def improvement(spark, d):

@@ -230,10 +230,10 @@ def percent_gain(spark, d):
 
 @query(
     "x21_report_rounding",
-    "SELECT o_orderkey, round_even(o_totalprice / 1000, 2) AS thousands FROM orders",
+    "SELECT o_orderkey, round_even(o_totalprice / 1000 * 100, 0) / 100 AS thousands FROM orders",
 )
 def rounding(spark, d):
-    return fx.table(spark, d, "orders").select("o_orderkey", F.bround(F.col("o_totalprice") / 1000, 2).alias("thousands"))
+    return fx.table(spark, d, "orders").select("o_orderkey", encode.report_round(F.col("o_totalprice") / 1000).alias("thousands"))
 
 
 @query(

@@ -94,3 +94,8 @@ def shares(cols: list[str]) -> dict[str, Column]:
 def pct_gain(base: Column, new: Column) -> Column:
     """Gain of ``new`` over ``base`` in percent, null when the base is not positive."""
     return F.when(base > 0, (base - new) / base * 100.0)
+
+
+def report_round(c: Column, digits: int = 2) -> Column:
+    """Scale, round half to even and scale back."""
+    return F.rint(c * float(10**digits)) / float(10**digits)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar, metrics
-from ..functions.encode import pct_gain
+from ..functions.encode import pct_gain, report_round
 from ..functions.hashing import hash_bucket, key_hash, mix
 from ..session import materialize
 from .joins import attach, spread
@@ -68,11 +68,11 @@ def improvement(board: DataFrame, baselines: Sequence[str] = BASELINES, metric:
     return best.where(F.col("_base").isNotNull()).select(
         "horizon",
         F.col("_base.model").alias("best_baseline"),
-        F.bround(base, 2).alias("best_baseline_mae"),
+        report_round(base).alias("best_baseline_mae"),
         F.col("_best.model").alias("best_overall"),
-        F.bround(top, 2).alias("best_overall_mae"),
-        F.bround(base - top, 2).alias("abs_improvement"),
-        F.bround(pct_gain(base, top), 2).alias("pct_improvement"),
+        report_round(top).alias("best_overall_mae"),
+        report_round(base - top).alias("abs_improvement"),
+        report_round(pct_gain(base, top)).alias("pct_improvement"),
     )
 
 
