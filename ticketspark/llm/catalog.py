@@ -1,6 +1,6 @@
 """The registered queries of this subpackage."""
 
-from . import chat, quality, sharding, urls  # noqa: F401
+from . import chat, licenses, packing, quality, sharding, toxicity, urls  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
