@@ -36,7 +36,10 @@ from .registry import query, table
 #: Characters of a block. One longer text is a block of its own.
 BLOCK_CHARS = 16_000_000
 #: White space in the sense of the split pattern.
-_SPACE = " \t-\r\x85\xa0  -     　"
+_SPACE = (
+    " \t-\r\x85\xa0\N{OGHAM SPACE MARK}\N{EN QUAD}-\N{HAIR SPACE}\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}"
+    "\N{NARROW NO-BREAK SPACE}\N{MEDIUM MATHEMATICAL SPACE}\N{IDEOGRAPHIC SPACE}"
+)
 #: No pre-token has white space after anything else, so texts may be cut before every run of it.
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 
