@@ -1,6 +1,6 @@
 """The registered queries of this subpackage."""
 
-from . import bpe, chat, licenses, neardup, packing, quality, sharding, toxicity, urls  # noqa: F401
+from . import bpe, chat, hamming, licenses, neardup, packing, quality, sharding, toxicity, urls  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
