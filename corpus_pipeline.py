@@ -1,9 +1,72 @@
-"""The corpus pipeline: its stages, in order."""
+"""The corpus pipeline: documents are judged, cleaned of toxic and near-duplicate texts, and packed.
 
-STAGES = []
+Every stage is a function of (spark, docs, sf_dir). All but the last return the columns of ``docs``,
+whatever they are named: the rows travel beside what an operator adds. Rows keep their values; stages
+only leave rows out. Null or empty texts go with the quality rules, since they have no words.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ticketspark.llm import neardup, packing, quality, toxicity
+from ticketspark.llm.registry import table
+from ticketspark.session import materialize
+
+#: A text with at least this score goes.
+TOXIC = 0.7
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    return quality.judge(rows).where("kept").select("doc.*")
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic, by a model learned from the labelled documents of ``sf_dir``."""
+    model = toxicity.learn_from(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    return toxicity.score_texts(rows, model).where(F.col("score") < TOXIC).select("doc.*")
+
+
+def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word runs, 0.8): the smallest doc_id.
+
+    Rows with a null doc_id belong to no group and stay. Of rows that repeat a doc_id one stays.
+    """
+    found = materialize(neardup.near_duplicates(docs, width=5, percent=80), "near-duplicates")
+    kept = found.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
+    staying = docs.join(kept.distinct(), "doc_id", "left_semi")
+    rows, ids = kept.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if rows != ids:
+        staying = staying.dropDuplicates(["doc_id"])
+    return staying.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document's tokens lie in sequences of 4096."""
+    pieces = packing.tokenize(docs, packing.default_path(), with_ids=False)
+    return packing.pack(pieces, ["doc_id", "start", "ids_crc32"]).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicate_filter),
+    ("packing", packed),
+]
+
+#: Compression scores and tokens are not expressible in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """All stages over documents, each written and reread."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each one's result written and reread."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .registry import query, table
+from .registry import query, table, without
 
 #: Characters of a block. One longer text is a block of its own.
 BLOCK_CHARS = 16_000_000
@@ -248,10 +248,9 @@ def encode(
     """The ``keep`` columns and ``ids`` of every whole text; one row for each row of ``df``.
 
     A null text counts as empty and has no ids. Strings that look like special tokens are ordinary
-    text. ``keep`` columns may have any name but ``ids``; repeated rows each get theirs.
+    text. A ``keep`` column named ``ids`` is left out; repeated rows each get theirs.
     """
-    if "ids" in keep:
-        raise ValueError("column ids clashes with the operator's own")
+    keep = [c for c in keep if c.lower() != "ids"]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # read twice below; both reads share one shuffle
     by_block = _index(df, text, keep, pattern, 4 * parts, block_chars).repartition(parts, "block")
@@ -263,9 +262,11 @@ def encode(
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that its ids stand for; null ids give null, an unknown id is an error."""
-    if decoded in df.columns:
-        raise ValueError(f"column {decoded} is there already")
+    """``df`` with the bytes that its ids stand for; null ids give null, an unknown id is an error.
+
+    A column that is named as the new one is replaced.
+    """
+    df = without(df, [decoded], [ids])
     at, names = df.columns.index(ids), [*df.columns, decoded]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

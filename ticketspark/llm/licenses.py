@@ -215,12 +215,11 @@ def scan_licenses(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
 
     ``spans`` are the word ranges that templates accept. ``score`` is 1 if a template accepts, 0.5 if
     only base phrases stand there, else 0. A null or empty text has no words and no labels. Work goes
-    row by row where the rows lie; nothing is shuffled. ``keep`` columns may have any name but those
-    added here.
+    row by row where the rows lie; nothing is shuffled. ``keep`` columns named as an added one are left
+    out.
     """
     scanner = scanner or make_scanner()
-    if clash := {n for n, _ in _FIELDS} & set(keep):
-        raise ValueError(f"columns {sorted(clash)} clash with the operator's own")
+    keep = tuple(c for c in keep if c.lower() not in {n for n, _ in _FIELDS})
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

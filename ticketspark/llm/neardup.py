@@ -299,10 +299,17 @@ def near_duplicates(
     their sets of distinct runs of ``width`` words; A-Z is lowered, words end at ASCII white space. A
     null or empty text, or one without words, has an empty set and is linked with nothing. Rows with a
     null key are linked with nothing either: their component is null and they are kept. Rows that
-    repeat a key share its component. Other columns of ``docs`` are not read. Runs several jobs.
+    repeat a key share its component; if their texts have different sets, all are judged by the smallest
+    text. Other columns of ``docs`` are not read. Runs several jobs.
     """
     features = materialize(_features(docs, key, text, width), "shingles")
     whole = features.where(F.col("key").isNotNull() & F.col("set_id").isNotNull())
+    odd = whole.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high")
+    if not odd.isEmpty():  # a key must name one set
+        one = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias(key)).agg(F.min(text).alias(text))
+        found = near_duplicates(one, width, percent, key, text, trees)
+        rows = docs.select(F.col(key).cast("long").alias(key)).join(found, key, "left")
+        return rows.withColumns({"n_shingles": F.coalesce("n_shingles", F.lit(0).cast("long")), "kept": F.coalesce("kept", F.lit(True))})
     sets = materialize(whole.groupBy("set_id").agg(F.min("key").alias("class"), F.first("n_shingles").alias("n")), "classes")
     named = sets.select(F.col("class").alias("key"), "set_id", "n")
     tokens = whole.select("key", "set_id", "tokens")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,5 +22,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def without(df: DataFrame, added: Iterable[str], needed: Iterable[str] = ()) -> DataFrame:
+    """``df`` without columns named as those an operator adds (names ignore case), but for those it needs."""
+    names = {a.lower() for a in added} - {n.lower() for n in needed}
+    return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in names])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

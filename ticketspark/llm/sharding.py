@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .registry import query, table
+from .registry import query, table, without
 
 ROUNDS = 4
 _ODD = 0x9E3779B97F4A7C15
 _WORD = (1 << 64) - 1
+_WORKING = ("_tie", "_at", "_range", "_size", "_start", "_place", "_row")
 
 
 def round_keys(seed: int, rounds: int = ROUNDS) -> list[int]:
@@ -96,14 +97,12 @@ def shard(df: DataFrame, order: Sequence[str], shards: int, seed: int = 42) -> D
     The result depends on the values in ``order``, the seed and the number of rows, not on files or
     partitions. Null keys sort first; rows equal in all of ``order`` take neighbouring numbers, and
     which of them takes which depends on the layout. Keep ``df`` narrow: all its columns are shuffled
-    once. Columns named ``shard``, ``slot``, or starting with an underscore used here are not allowed.
+    once. Other columns named ``shard``, ``slot`` or as one of ``_WORKING`` are replaced or left out. An
+    empty table stays empty.
     """
-    clash = {"shard", "slot", "_tie", "_at", "_range", "_size", "_start", "_place", "_row"} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} clash with the operator's own")
     if shards < 1:
         raise ValueError("shards must be positive")
-    numbered, n = number_rows(df, order, "_row")
+    numbered, n = number_rows(without(df, ["shard", "slot", *_WORKING], order), order, "_row")
     placed = numbered.withColumn("_place", place(F.col("_row"), n, seed))
     return placed.withColumns(
         {"shard": F.pmod("_place", F.lit(shards)).cast("int"), "slot": F.floor(F.col("_place") / shards).cast("long")}

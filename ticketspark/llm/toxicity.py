@@ -23,11 +23,11 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +39,9 @@ from .registry import query, table
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_CHARS = 2000, 6000, 10_000
 #: Share of the sampled rows that fit the curve; the others train the dictionaries.
 CURVE_SHARE = 0.4
-PIECE, GRAM, ODDS = 48, 5, 20.0
+PIECE, GRAM = 48, 5
+#: How much likelier in toxic rows a run of bytes must be; the value with the better curve is taken.
+ODDS = (20.0, 6.0)
 TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 6000, 65536, 6
 CARRIER = bytes(c for c in range(1, 32) if c not in (9, 10, 13))
 #: Gains of single windows that a worker remembers.
@@ -152,21 +154,31 @@ def fit(toxic: list[bytes], ordinary: list[bytes], prior: float) -> Model:
     in_toxic, in_ordinary = grams(t_dict), grams(o_dict)
     least = max(2, round(len(t_dict) / 150))
     ratio = (len(o_dict) + 1) / (len(t_dict) + 1)
-    telling = {g for g, n in in_toxic.items() if n >= least and (n + 0.5) / (in_ordinary[g] + 0.5) * ratio >= ODDS}
-    tells = lambda w: any(w[i : i + GRAM] in telling for i in range(len(w) - GRAM + 1))
-    marked = [w for t in t_dict for w in sorted(set(windows(t))) if tells(w)]
+    odds = {g: (n + 0.5) / (in_ordinary[g] + 0.5) * ratio for g, n in in_toxic.items() if n >= least}
     usual = [w for t in o_dict for w in sorted(set(windows(t)))]
-    if not marked or not usual:
-        return constant
     # numbered first, so that repeated windows are spread too
     spread = lambda found: [w for _, w in sorted((zlib.crc32(b"%d" % i), w) for i, w in enumerate(found))]
-    dictionaries = _train(spread(marked), TOXIC_BYTES), _train(spread(usual)[:120_000], ORDINARY_BYTES)
-    gains = Gains(*dictionaries)
-    x = np.array([gains.features(t) for t in [*toxic[cuts[0] :], *ordinary[cuts[1] :]]])
-    y = np.array([1.0] * len(toxic[cuts[0] :]) + [0.0] * len(ordinary[cuts[1] :]))
-    if len(set(y)) < 2:
+    if not usual:
         return constant
-    return Model(*dictionaries, tuple(float(v) for v in _curve(x, y)))
+    ordinary_dictionary = _train(spread(usual)[:120_000], ORDINARY_BYTES)
+    y = np.array([1.0] * len(toxic[cuts[0] :]) + [0.0] * len(ordinary[cuts[1] :]))
+    best, least_loss = constant, math.inf
+    for goal in ODDS:
+        telling = {g for g, o in odds.items() if o >= goal}
+        tells = lambda w, telling=telling: any(w[i : i + GRAM] in telling for i in range(len(w) - GRAM + 1))
+        marked = [w for t in t_dict for w in sorted(set(windows(t))) if tells(w)]
+        if not marked or len(set(y)) < 2:
+            continue
+        size = min(TOXIC_BYTES, max(512, sum(map(len, marked)) // 8))
+        model = Model(_train(spread(marked), size), ordinary_dictionary, ())
+        gains = Gains(model.toxic, model.ordinary)
+        x = np.array([gains.features(t) for t in [*toxic[cuts[0] :], *ordinary[cuts[1] :]]])
+        w = _curve(x, y)
+        z = np.clip(np.column_stack([np.ones(len(x)), x]) @ w, -30, 30)
+        loss = float(np.mean(np.log1p(np.exp(-np.where(y == 1, z, -z)))))
+        if loss < least_loss:
+            best, least_loss = replace(model, weights=tuple(float(v) for v in w)), loss
+    return best
 
 
 def learn(labelled: DataFrame, docs: DataFrame, key: str = "doc_id", label: str = "toxic", text: str = "text") -> Model:
@@ -204,24 +216,17 @@ def _gains(model: Model) -> Gains:
 def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """``df`` with a score from 0 to 1 for each whole text; a null text counts as empty.
 
-    Row by row, nothing is shuffled. An empty text gets the curve's value for no windows.
+    Only the text goes to Python; nothing is shuffled. An empty text gets the curve's value for no
+    windows. A column named as the score is replaced.
     """
-    if score in df.columns:
-        raise ValueError(f"column {score} is there already")
-    names = [*df.columns, score]
-    width = len(df.columns)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
         gains = _gains(model)
-        for batch in batches:
-            values = (v.as_buffer() for v in batch.column(width))
-            scores = [model.score(gains, b"" if v is None else v.to_pybytes()) for v in values]
-            columns = [*batch.columns[:width], pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    given = df.select(*[df[c] for c in df.columns], df[text].cast("binary").alias("_text_bytes"))
-    return given.mapInArrow(rows, f"{schema}, `{score}` double")
+        return pd.Series([model.score(gains, t) for t in texts], dtype="float64")
+
+    given = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    return df.withColumn(score, scored(given))
 
 
 def held_out(key: Column) -> Column:

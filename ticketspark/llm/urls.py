@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .registry import query, table
+from .registry import query, table, without
 
 MAX_BITS = 1 << 22
 MAX_LEVELS = 64
@@ -147,12 +147,10 @@ def judge_urls(
     ``rules`` has key and verdict (allow or block), ``blocked_hosts`` has key (a host; its subdomains
     count too). ``prefix_lengths`` are the lengths of the rules' paths. The longest rule that fits
     gives the verdict; without one, a blocked host blocks and everything else is allowed. A null URL
-    has empty host and path and is allowed. Repeated URLs each get their row. Columns of ``urls``
-    named as the added ones are not allowed.
+    has empty host and path and is allowed. Repeated URLs each get their row. Other columns of ``urls``
+    named as the added ones, or ``_keys``, ``_hosts``, ``_allow``, ``_block``, ``_host``, are left out.
     """
-    clash = {"host", "path", "rule", "verdict", "_keys", "_hosts"} & {c.lower() for c in urls.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} clash with the operator's own")
+    urls = without(urls, ["host", "path", "rule", "verdict", "_keys", "_hosts", "_allow", "_block", "_host"], [url])
     host, path = url_parts(F.col(url))
     parts = urls.withColumns({"host": host, "path": path})
     keyed = parts.withColumns(
