@@ -11,7 +11,9 @@ lost task packs the same rests again into the same sequences.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,15 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .registry import query, table
+from .registry import query, table, without
 
 LENGTH = 4096
 #: Rests that a group holds on average. Padding hardly falls beyond a few thousand.
 GROUP_ROWS = 8192
 END_ID = 2
-_SPACES = str.maketrans({"\n": " "})
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers.
+REMEMBERED = 1_000_000
+_WORD = re.compile(r"[A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+").fullmatch
 
 
 def first_fit_decreasing(lengths: Sequence[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,10 +71,10 @@ def pack(pieces: DataFrame, key: Sequence[str], length: str = "length", capacity
     A piece longer than ``capacity`` or without tokens is an error; null lengths too. ``key`` names
     columns that tell pieces apart; their hash breaks ties, and with a row's place in the written table
     it chooses the group, so repeated rows spread over all groups. Full pieces have negative sequence
-    ids. Only the columns of ``pieces`` move, once; keep them narrow. An empty table stays empty.
+    ids. Only the columns of ``pieces`` move, once; keep them narrow. An empty table stays empty. Columns
+    named as the added ones, ``_group`` or ``_order`` are left out.
     """
-    if clash := {"sequence_id", "offset", "_group", "_order"} & {c.lower() for c in pieces.columns}:
-        raise ValueError(f"columns {sorted(clash)} clash with the operator's own")
+    pieces = without(pieces, ["sequence_id", "offset", "_group", "_order"], [*key, length])
     written = materialize(pieces, "pieces")
     n, bad = written.agg(
         F.count_if(F.col(length) < capacity), F.count_if(F.col(length).isNull() | (F.col(length) < 1) | (F.col(length) > capacity))
@@ -101,33 +103,42 @@ def pack(pieces: DataFrame, key: Sequence[str], length: str = "length", capacity
 
 
 class Vocabulary(dict):
-    """Token ids of a piece of text between spaces, as little-endian 32-bit integers.
+    """Token ids of a piece of text between spaces, as little-endian 32-bit integers, found when first asked for.
 
     No token of this tokenizer reaches over white space and its normalisation does not either, so a
-    text's ids are those of its pieces in order.
+    text's ids are those of its pieces in order. A piece of Latin letters, alone or before one full
+    stop or comma, is one word of the tokenizer's own split: only its merges are run, for its lower
+    case. All other pieces go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._merge = self._tokenizer.model.tokenize
+        self._letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
-    def learn(self, pieces: set[str]) -> None:
-        new = list(pieces.difference(self))
-        if len(self) + len(new) > REMEMBERED:
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
             self.clear()
-            new = list(pieces)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[piece] = np.array(found.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        split = [t.translate(_SPACES).split(" ") for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, s)) for s in split]
+        word = piece[:-1] if piece[-1:] in (".", ",") else piece
+        if _WORD(word):
+            if word is not piece:
+                found = self[word] + self[piece[-1]]
+            elif not piece.islower():
+                found = self[piece.lower()]
+            else:
+                spelled = piece if piece.isascii() else self._letters(piece)[0][0]
+                found = array("I", [t.id for t in self._merge(spelled)]).tobytes()
+        else:
+            found = array("I", self._tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        self[piece] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _READY: dict[str, Vocabulary] = {}
@@ -143,10 +154,6 @@ def _vocabulary(path: str) -> Vocabulary:
     return _READY[path]
 
 
-#: Characters tokenized together, so that their words fit a worker's memory.
-BLOCK_CHARS = 2_000_000
-
-
 def tokenize(
     df: DataFrame, path: str, text: str = "text", keep: Sequence[str] = ("doc_id",), capacity: int = LENGTH, with_ids: bool = True
 ) -> DataFrame:
@@ -154,40 +161,28 @@ def tokenize(
 
     A text's tokens are those of the tokenizer in ``path`` without special ones, then ``END_ID``; a
     null text is empty and has that one token. Pieces are ``capacity`` tokens long but for the last.
-    ``ids`` is binary, little-endian unsigned 32-bit integers. Nothing is shuffled.
+    ``ids`` is binary, little-endian unsigned 32-bit integers. ``keep`` columns named as an added one are
+    left out. Nothing is shuffled.
     """
     added = ["start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
-    if clash := set(added) & set(keep):
-        raise ValueError(f"columns {sorted(clash)} clash with the operator's own")
+    keep = [c for c in keep if c.lower() not in added]
     end = np.array([END_ID], dtype="<u4").tobytes()
     step = 4 * capacity
 
-    def blocks(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-        first, block, chars = 0, [], 0
-        for i, value in enumerate(column.to_pylist()):
-            if block and chars + len(value or "") > BLOCK_CHARS:
-                yield first, block
-                first, block, chars = i, [], 0
-            block.append(value or "")
-            chars += len(block[-1])
-        if block:
-            yield first, block
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
         for batch in batches:
-            for first, block in blocks(batch.column(len(keep))):
-                at, out = [], []
-                for i, ids in enumerate(vocabulary.encode(block)):
-                    ids += end
-                    for k in range(0, len(ids), step):
-                        piece = ids[k : k + step]
-                        at.append(first + i)
-                        out.append((k // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, *[piece] * with_ids))
-                kept = [c.take(pa.array(at, pa.int32())) for c in batch.columns[: len(keep)]]
-                kinds = [pa.int64()] * 4 + [pa.binary()] * with_ids
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*keep, *added])
+            at, out = [], []
+            for i, value in enumerate(batch.column(len(keep))):
+                ids = vocabulary.encode(value.as_py() or "") + end
+                for k in range(0, len(ids), step):
+                    piece = ids[k : k + step]
+                    at.append(i)
+                    out.append((k // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, *[piece] * with_ids))
+            kept = [c.take(pa.array(at, pa.int32())) for c in batch.columns[: len(keep)]]
+            kinds = [pa.int64()] * 4 + [pa.binary()] * with_ids
+            columns = [pa.array([row[j] for row in out], kind) for j, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*keep, *added])
 
     kept = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in keep)
     return df.select(*[df[c] for c in keep], df[text].alias("_text")).mapInArrow(
