@@ -250,7 +250,52 @@ def scan_licenses(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
     return given.mapInArrow(rows, f"{kept}, {_DDL}" if kept else _DDL)
 
 
-@query("op2_license_scans")
+def as_regex(template: str) -> str:
+    """A regular expression for a template, over words that each end in a space; only for checks in SQL."""
+    out = ""
+    for k, piece in enumerate(_MARKUP.split(template)):
+        if k % 2 == 0:
+            out += "".join(w.decode() + " " for w in normalised(piece.encode()).split())
+        elif piece == "beginOptional":
+            out += "(?:"
+        elif piece == "endOptional":
+            out += ")?"
+        else:
+            _, least, most = piece.split(";")
+            out += f"(?:[^ ]+ ){{{least},{most}}}"
+    return out
+
+
+def _sql() -> str:
+    """The scan in SQL: phrases by list slices, templates by regular expressions over the joined words."""
+    names = sorted(PHRASES)
+    starts, named = [], []
+    for i, label in enumerate(names):
+        words = PHRASES[label].split()
+        listed = ", ".join(f"'{w}'" for w in words)
+        starts.append(f"list_filter(range(1, len(ws) + 1), lambda i: ws[i:i + {len(words) - 1}] = [{listed}]) AS p{i}")
+        named.append(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END")
+    accepted = [f"CASE WHEN regexp_matches(t, ' {as_regex(template)}') THEN '{label}' END" for label, template in TEMPLATES]
+    joined = lambda c: f"array_to_string(list_sort(list_distinct(list_filter({c}, lambda x: x IS NOT NULL))), ',')"
+    every = " || ".join(f"p{i}" for i in range(len(names)))
+    upper = "".join(chr(c) for c in range(65, 91))
+    return rf"""
+    WITH d AS (
+        SELECT doc_id, regexp_replace(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g') AS t
+        FROM documents
+    ),
+    w AS (SELECT doc_id, list_filter(string_split(t, ' '), lambda x: x <> '') AS ws FROM d),
+    p AS (SELECT doc_id, ws, ' ' || array_to_string(ws, ' ') || ' ' AS t, {", ".join(starts)} FROM w),
+    m AS (SELECT doc_id, ws, {every} AS places, [{", ".join(named)}] AS base, [{", ".join(accepted)}] AS own FROM p)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+        CAST(list_min(places) - 1 AS BIGINT) AS first_word, CAST(list_max(places) - 1 AS BIGINT) AS last_word,
+        {joined("base")} AS base_labels, {joined("base || own")} AS labels,
+        CAST(CASE WHEN len(list_filter(own, lambda x: x IS NOT NULL)) > 0 THEN 1 WHEN len(places) > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+    FROM m
+    """
+
+
+@query("op2_license_scans", _sql())
 def op2(spark, sf_dir):
     """All documents scanned."""
     found = scan_licenses(table(spark, sf_dir, "documents"))
