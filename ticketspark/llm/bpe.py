@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from .registry import query, table, without
 
 #: Characters of a block. One longer text is a block of its own.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 6_000_000
+#: Rows that are decoded and digested at once.
+ROWS_AT_ONCE = 500
 #: White space in the sense of the split pattern.
 _SPACE = (
     " \t-\r\x85\xa0\N{OGHAM SPACE MARK}\N{EN QUAD}-\N{HAIR SPACE}\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}"
@@ -267,40 +269,49 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     A column that is named as the new one is replaced.
     """
     df = without(df, [decoded], [ids])
-    at, names = df.columns.index(ids), [*df.columns, decoded]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInArrow(_decoder(path, df.columns.index(ids), [*df.columns, decoded]), f"{schema}, `{decoded}` binary")
+
+
+def _decoder(path: str, at: int, names: list[str]):
+    """Joins the ids in column ``at`` with the token-byte table."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = _token_bytes(path).__getitem__
-        for batch in batches:
-            out = [
-                None if v.as_buffer() is None else b"".join(map(token, np.frombuffer(v.as_buffer(), "<u4").tolist()))
-                for v in batch.column(at)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=names)
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(first, ROWS_AT_ONCE)
+                out = [
+                    None if v.as_buffer() is None else b"".join(map(token, np.frombuffer(v.as_buffer(), "<u4").tolist()))
+                    for v in batch.column(at)
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(rows, f"{schema}, `{decoded}` binary")
+    return rows
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, n_tokens and both digests of rows of doc_id, ids and decoded."""
-    names: dict[int, str] = {}
-    for batch in batches:
-        n, said, spelled = [], [], []
-        for ids, raw in zip(batch.column(1), batch.column(2), strict=True):
-            found = np.frombuffer(ids.as_buffer(), "<u4").tolist()
-            for i in set(found).difference(names):
-                names[i] = str(i)
-            n.append(len(found))
-            said.append(hashlib.sha256(" ".join(map(names.__getitem__, found)).encode()).hexdigest())
-            spelled.append(hashlib.sha256(raw.as_buffer()).hexdigest())
-        columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(spelled, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+def _digests(path: str):
+    """doc_id, n_tokens and digests of ids and of the decoded bytes, of rows of doc_id and ids."""
+    decoded = _decoder(path, 1, ["doc_id", "ids", "decoded"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = {i: str(i).encode() for i in _token_bytes(path)}.__getitem__
+        for batch in decoded(batches):
+            n, said, raw = [], [], []
+            for ids, back in zip(batch.column(1), batch.column(2), strict=True):
+                found = np.frombuffer(ids.as_buffer(), "<u4").tolist()
+                n.append(len(found))
+                said.append(hashlib.sha256(b" ".join(map(spelled, found))).hexdigest())
+                raw.append(hashlib.sha256(back.as_buffer()).hexdigest())
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(raw, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return rows
 
 
 @query("op1_byte_bpe")
 def op1(spark, sf_dir):
-    """All documents encoded and decoded again."""
+    """All documents encoded and decoded again; decoding and digests share a worker."""
     path = default_path()
     encoded = encode(table(spark, sf_dir, "documents"), path, default_pattern())
-    return decode(encoded, path).mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.mapInArrow(_digests(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

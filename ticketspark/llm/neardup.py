@@ -23,9 +23,10 @@ A node need not name all pairs: a component is known by any links that connect i
 4. where that would take more than ``NODE_WORK`` comparisons, the node branches on, and all starts
    again for its children.
 
-Comparison means estimating the similarity by the shared tokens; pairs within ``SIGMAS`` standard
-deviations below the threshold are confirmed on whole sets, recomputed from the texts. What can be
-lost is a pair that no tree keeps together or that the estimate misses by more than that.
+Comparison means estimating the similarity by a sketch that keeps the smallest shingle of each of
+``BINS`` ranges; it is nearly the whole set of a short text. Pairs within ``SIGMAS`` standard deviations
+below the threshold are confirmed on whole sets, recomputed from the texts. What can be lost is a pair
+that no tree keeps together or that the estimate misses by more than that.
 """
 
 from __future__ import annotations
@@ -44,6 +45,10 @@ from ..session import materialize
 from .registry import query, table
 
 COORDINATES, TREES, CHOICES = 128, 2, 2
+#: Ranges of the sketch; a power of two.
+BINS = 512
+#: Nodes in which a class looks for its best partner, before all pairs are looked at.
+BEST_NODES = 2
 #: Levels of the first descent, and of each later one.
 DEPTH, STEP = 4, 2
 #: Classes in a block, and comparisons above which a node branches on.
@@ -97,6 +102,28 @@ def minwise(found: np.ndarray) -> np.ndarray:
     return (best >> np.uint32(16)).astype(np.uint16)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """One byte for each range of hashes: 0 without a shingle, else from the smallest one (1 to 255)."""
+    shift = _U(64 - (BINS - 1).bit_length())
+    ranges = found >> shift
+    first = np.flatnonzero(np.diff(ranges, prepend=~ranges[:1]) != 0)
+    out = np.zeros(BINS, np.uint8)
+    out[ranges[first].astype(np.int64)] = (found[first] & _U(0xFFFF)) % _U(255) + _U(1)
+    return out.tobytes()
+
+
+def alike(one: np.ndarray, many: np.ndarray, size: int, sizes: np.ndarray, goal: float) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarity of a sketch to others, and whether it may reach ``goal``.
+
+    Of a union of u shingles the m ranges in use hold m, drawn without replacement.
+    """
+    either = (many | one).astype(bool).sum(axis=1)
+    share = ((many == one) & (many > 0)).sum(axis=1) / either
+    union = (size + sizes) / (1 + goal)
+    spread = np.sqrt(goal * (1 - goal) / either * np.clip(1 - either / union, 0, 1))
+    return share, share >= goal - SIGMAS * spread - 0.5 / either
+
+
 def descend(paths: np.ndarray, tokens: np.ndarray, levels: int) -> np.ndarray:
     """Paths (rows by classes) after ``levels`` more levels; each has ``CHOICES`` children a level."""
     rows = np.arange(len(paths))[:, None]
@@ -116,23 +143,24 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def _features(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """key, n_shingles, set_id (128 bits of the set, null for an empty one) and tokens of every row."""
+    """key, n_shingles, set_id (128 bits of the set, null for an empty one), tokens and sketch of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
-            sizes, ids, tokens = [], [], []
+            sizes, ids, tokens, sketches = [], [], [], []
             for value in batch.column(1):
                 raw = value.as_buffer()
                 found = shingles(raw.to_pybytes() if raw is not None else b"", width, words)
                 sizes.append(len(found))
                 ids.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 tokens.append(minwise(found).tobytes() if len(found) else None)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(tokens, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_shingles", "set_id", "tokens"])
+                sketches.append(sketch(found) if len(found) else None)
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), *[pa.array(c, pa.binary()) for c in (ids, tokens, sketches)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_shingles", "set_id", "tokens", "sketch"])
 
     given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text"))
-    return given.mapInArrow(rows, "key long, n_shingles long, set_id binary, tokens binary")
+    return given.mapInArrow(rows, "key long, n_shingles long, set_id binary, tokens binary, sketch binary")
 
 
 def _first_paths(classes: DataFrame, trees: int) -> DataFrame:
@@ -217,7 +245,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
 
 def _compare(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Candidate pairs (a, b) of ``rows`` (path, block, asks, key, label, n, tokens, paths), each named by one node.
+    """Candidate pairs (a, b) of ``rows`` (path, block, asks, key, label, n, sketch, paths), each named by one node.
 
     Rows that ask are compared with the block's other rows in another component.
     """
@@ -225,7 +253,8 @@ def _compare(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
     def block(group: pa.Table) -> pa.Table:
         asks = group["asks"].to_numpy(zero_copy_only=False)
         key, label, n = (group[c].to_numpy(zero_copy_only=False) for c in ("key", "label", "n"))
-        tokens, path = _tokens(group["tokens"].combine_chunks()), group["path"][0].as_py()
+        sketches = np.frombuffer(b"".join(v.as_buffer() for v in group["sketch"]), np.uint8).reshape(-1, BINS)
+        path = group["path"][0].as_py()
         paths = group["paths"].to_pylist()
         rest = np.flatnonzero(~asks)
         a, b = [], []
@@ -236,9 +265,7 @@ def _compare(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
             other = other[100 * small >= percent * large]
             if not len(other):
                 continue
-            share = (tokens[other] == tokens[q]).mean(axis=1)
-            goal = percent / 100
-            close = share >= goal - SIGMAS * np.sqrt(goal * (1 - goal) / COORDINATES)
+            share, close = alike(sketches[q], sketches[other], n[q], n[other], percent / 100)
             other, share = other[close], share[close]
             if best_only and len(other):
                 other = other[[np.argmax(share)]]
@@ -271,15 +298,23 @@ def _live(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, Data
     return rows, nodes
 
 
-def _dealt(rows: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows for ``_compare``: every class once in one block of its node, and those outside the main component asking in all blocks."""
+def _dealt(rows: DataFrame, nodes: DataFrame, classes: DataFrame, best_only: bool) -> DataFrame:
+    """Rows for ``_compare``: every class once in one block of its node, and those outside the main component asking in all blocks.
+
+    For the best partner a class asks in ``BEST_NODES`` nodes, and nodes where none asks are left out.
+    """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = rows.join(nodes, "path").select(
         "path", "key", "label", blocks.alias("blocks"), (F.col("label") != F.col("main")).alias("outside")
     )
     mine = rows.groupBy("key").agg(F.collect_list("path").alias("paths"))  # as many as a class has leaves
-    # tokens move once a class, then with its few rows
-    rows = rows.join(mine, "key").join(classes.select("key", "n", "tokens"), "key")
+    rows = rows.join(mine, "key")
+    if best_only:
+        rows = rows.withColumn("outside", F.col("outside") & F.array_contains(F.slice(F.sort_array("paths"), 1, BEST_NODES), F.col("path")))
+        rows = materialize(rows, "asking")
+        rows = rows.join(rows.where("outside").select("path").distinct(), "path")
+    # sketches move once a class, then with its few rows
+    rows = rows.join(classes.select("key", "n", "sketch"), "key")
     home = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     places = F.concat(
         F.array(F.struct(home.alias("block"), F.lit(False).alias("asks"))),
@@ -287,7 +322,7 @@ def _dealt(rows: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
             F.array().cast("array<struct<block:int,asks:boolean>>")
         ),
     )
-    return rows.select("path", F.inline(places), "key", "label", "n", "tokens", "paths")
+    return rows.select("path", F.inline(places), "key", "label", "n", "sketch", "paths")
 
 
 def near_duplicates(
@@ -312,9 +347,9 @@ def near_duplicates(
         return rows.withColumns({"n_shingles": F.coalesce("n_shingles", F.lit(0).cast("long")), "kept": F.coalesce("kept", F.lit(True))})
     sets = materialize(whole.groupBy("set_id").agg(F.min("key").alias("class"), F.first("n_shingles").alias("n")), "classes")
     named = sets.select(F.col("class").alias("key"), "set_id", "n")
-    tokens = whole.select("key", "set_id", "tokens")
+    tokens = whole.select("key", "set_id", "tokens", "sketch")
     # a repeated key with another text has another set; equal rows have equal tokens
-    classes = materialize(tokens.join(named, ["key", "set_id"]).dropDuplicates(["key", "set_id"]).select("key", "n", "tokens"), "tokens")
+    classes = materialize(tokens.join(named, ["key", "set_id"]).dropDuplicates(["key", "set_id"]).select("key", "n", "tokens", "sketch"), "tokens")
 
     members = _shared(_first_paths(classes, trees))
     links: list[DataFrame] = []
@@ -353,7 +388,7 @@ def near_duplicates(
             fit = nodes.where((work <= NODE_WORK) | F.lit(depth >= MAX_DEPTH))
             if fit.isEmpty():
                 break
-            found = materialize(_compare(_dealt(rows, fit, classes), percent, best_only), "candidates")
+            found = materialize(_compare(_dealt(rows, fit, classes, best_only), percent, best_only), "candidates")
             if not found.isEmpty():
                 add(found)
         rows, nodes = _live(members, labels)
@@ -374,7 +409,29 @@ def near_duplicates(
     return joined.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-@query("op3_minhash_near_dedup")
+@query(
+    "op3_minhash_near_dedup",
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS ws
+        FROM documents
+    ),
+    s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+            ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS s
+        FROM d
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ),
+    reach(doc_id, r) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
+    SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+    FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+    """,
+)
 def op3(spark, sf_dir):
     """All documents by shared three-word runs at 85 percent."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)

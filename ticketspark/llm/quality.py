@@ -14,11 +14,10 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .registry import query, table
+from .registry import query, table, without
 
 #: Documents that the order of the rules is estimated on. The verdict does not depend on it.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 500
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -88,12 +87,11 @@ def covered_by_repeats(hashes: Column) -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words (all long).
 
-    A null text has none of anything. Arrays stay inside their row: nothing is shuffled.
+    A null text has none of anything. Arrays stay inside their row: nothing is shuffled. Other columns
+    with these names, or ``_text``, ``_words``, ``_lines``, ``_hashes``, are left out.
     """
-    clash = {"n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "_text", "_words", "_lines", "_hashes"}
-    if found := clash & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns {sorted(found)} clash with the operator's own")
-    given = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "_text", "_words", "_lines", "_hashes"]
+    given = without(docs, own, [text]).withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     split = given.withColumns({"_words": words(F.col("_text")), "_lines": lines(F.col("_text"))})
     hashed = split.withColumn("_hashes", window_hashes(F.col("_words")))
     counted = hashed.withColumns(
@@ -150,11 +148,15 @@ def cascade(rules: Mapping[str, Column], order: list[str]) -> Column:
 
 
 def judge(docs: DataFrame, rules: Mapping[str, Column] | None = None, text: str = "text") -> DataFrame:
-    """``docs`` with the measured columns and ``kept``. Empty and null texts have no words and are rejected."""
+    """``docs`` with the measured columns and ``kept``. Empty and null texts have no words and are rejected.
+
+    A column ``kept`` of the input is replaced. An empty table stays empty.
+    """
     rules = default_rules() if rules is None else rules
-    sample = materialize(docs.select(F.col(text).alias("text")).limit(SAMPLE_ROWS), "quality-sample")
-    order = order_rules(measure(sample), rules)
-    return measure(docs, text).withColumn("kept", cascade(rules, order))
+    # take() reads only as many partitions as it needs
+    taken = docs.select(F.col(text).alias("text")).take(SAMPLE_ROWS)
+    order = order_rules(measure(docs.sparkSession.createDataFrame(taken, "text string")), rules)
+    return measure(without(docs, ["kept"], [text]), text).withColumn("kept", cascade(rules, order))
 
 
 @query(
