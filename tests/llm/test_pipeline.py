@@ -13,7 +13,7 @@ def test_run(spark, data):
     texts = dict(con.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())
     good = {r[0] for r in con.execute(f"SELECT doc_id FROM ({ORACLES['op7_quality_rules']}) WHERE kept").fetchall()}
     model = toxicity.learn_from(table(spark, data, "documents"), table(spark, data, "labels"))
-    gains = toxicity.Gains(model.toxic, model.ordinary) if model.toxic else None
+    gains = toxicity.Costs(model.toxic, model.ordinary) if model.toxic else None
     clean = {k: texts[k] for k in good if model.score(gains, texts[k].encode()) < corpus_pipeline.TOXIC}
     alone = {k for k, (_, c) in near_duplicate_classes(clean, 5, 80).items() if k == c}
     rows = corpus_pipeline.run(spark, data).collect()

@@ -171,7 +171,7 @@ def test_toxicity_held_out():
     held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
     pick = lambda label, n: [t.encode()[:10_000] for i, t, x in rows if x == label and not held(i)][:n]
     model = toxicity.fit(pick(1, 2000), pick(0, 6000), 0.1)
-    gains = toxicity.Gains(model.toxic, model.ordinary)
+    gains = toxicity.Costs(model.toxic, model.ordinary)
     judged = [(model.score(gains, t.encode()) >= 0.7, x) for i, t, x in rows if held(i)][:1500]
     positive = [p for p, x in judged if x]
     negative = [p for p, x in judged if not x]

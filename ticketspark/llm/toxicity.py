@@ -10,8 +10,9 @@ both lengths are alike.
 Toxic rows consist mostly of ordinary words, so the toxic dictionary is trained on those windows of
 toxic rows that hold a run of ``GRAM`` bytes which far more toxic than ordinary rows hold.
 
-A text's features are its largest gain, the numbers of windows beyond three thresholds, its number of
-windows and their share. A logistic curve, fitted on labelled rows that the dictionaries have not
+A text's features are its largest gain, the numbers of windows beyond some gains, also of those that
+the toxic dictionary holds whole (they cost one match, ``WHOLE`` bytes beyond the carrier's) or nearly,
+its number of windows and shares of it. A logistic curve, fitted on labelled rows that the dictionaries have not
 seen, turns them into the probability that the label is 1.
 
 The sample is bounded: ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` labelled rows, chosen by a hash of their
@@ -44,8 +45,10 @@ PIECE, GRAM = 48, 5
 ODDS = (20.0, 6.0)
 TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 6000, 65536, 6
 CARRIER = bytes(c for c in range(1, 32) if c not in (9, 10, 13))
-#: Gains of single windows that a worker remembers.
+#: Costs of single windows that a worker remembers.
 REMEMBERED = 300_000
+#: What one match costs, and the number of features.
+WHOLE, FEATURES = 3, 13
 
 
 def windows(text: bytes) -> list[bytes]:
@@ -69,12 +72,16 @@ def _train(found: list[bytes], size: int) -> bytes:
         return b"".join(reversed(frequent))[-size:]
 
 
-class Gains(dict):
-    """Gain of a window, computed when it is first asked for."""
+class Costs(dict):
+    """Bytes that a window adds to the carrier's with either dictionary, computed when first asked for.
+
+    Both are held in one number, toxic times 256 plus ordinary.
+    """
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         super().__init__()
         self._toxic, self._ordinary = (self._compressor(d) for d in (toxic, ordinary))
+        self._bare = len(self._toxic.compress(CARRIER)) * 256 + len(self._ordinary.compress(CARRIER))
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -89,21 +96,29 @@ class Gains(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         carried = window + CARRIER
-        gain = len(self._ordinary.compress(carried)) - len(self._toxic.compress(carried))
-        self[window] = gain
-        return gain
+        cost = len(self._toxic.compress(carried)) * 256 + len(self._ordinary.compress(carried)) - self._bare
+        self[window] = cost
+        return cost
 
     def features(self, text: bytes) -> list[float]:
         found = windows(text)
         if not found:
-            return [0.0] * 6
-        gains = np.fromiter(map(self.__getitem__, found), np.int32, len(found))
-        beyond = [int((gains >= t).sum()) for t in (4, 5, 6)]
+            return [0.0] * FEATURES
+        costs = np.fromiter(map(self.__getitem__, found), np.int32, len(found))
+        toxic = costs >> 8
+        gains = (costs & 255) - toxic
+        whole, nearly = toxic <= WHOLE, toxic <= WHOLE + 2
+        counts = [int(n) for n in (
+            *((whole & (gains >= t)).sum() for t in (2, 3, 4, 5)),
+            *((nearly & (gains >= t)).sum() for t in (2, 4)),
+            *((gains >= t).sum() for t in (4, 5, 6)),
+        )]
         return [
             min(float(gains.max()), 12.0) / 4,
-            *[math.log1p(n) for n in beyond],
+            *[math.log1p(n) for n in counts],
             math.log1p(len(found)),
-            20.0 * beyond[1] / len(found),
+            20.0 * counts[1] / len(found),
+            20.0 * counts[7] / len(found),
         ]
 
 
@@ -115,8 +130,8 @@ class Model:
     ordinary: bytes
     weights: tuple[float, ...]
 
-    def score(self, gains: Gains, text: bytes) -> float:
-        x = [1.0, *gains.features(text)] if self.toxic else [1.0]
+    def score(self, costs: Costs, text: bytes) -> float:
+        x = [1.0, *costs.features(text)] if self.toxic else [1.0]
         z = sum(a * b for a, b in zip(self.weights, x, strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
@@ -171,8 +186,8 @@ def fit(toxic: list[bytes], ordinary: list[bytes], prior: float) -> Model:
             continue
         size = min(TOXIC_BYTES, max(512, sum(map(len, marked)) // 8))
         model = Model(_train(spread(marked), size), ordinary_dictionary, ())
-        gains = Gains(model.toxic, model.ordinary)
-        x = np.array([gains.features(t) for t in [*toxic[cuts[0] :], *ordinary[cuts[1] :]]])
+        costs = Costs(model.toxic, model.ordinary)
+        x = np.array([costs.features(t) for t in [*toxic[cuts[0] :], *ordinary[cuts[1] :]]])
         w = _curve(x, y)
         z = np.clip(np.column_stack([np.ones(len(x)), x]) @ w, -30, 30)
         loss = float(np.mean(np.log1p(np.exp(-np.where(y == 1, z, -z)))))
@@ -202,14 +217,14 @@ def learn(labelled: DataFrame, docs: DataFrame, key: str = "doc_id", label: str
     return fit(pick(1), pick(0), 0.5 if share is None else share)
 
 
-_READY: dict[Model, Gains] = {}
+_READY: dict[Model, Costs] = {}
 
 
-def _gains(model: Model) -> Gains:
-    """A worker's memory of gains, kept from task to task."""
+def _costs(model: Model) -> Costs:
+    """A worker's memory of costs, kept from task to task."""
     if model not in _READY:
         _READY.clear()
-        _READY[model] = Gains(model.toxic, model.ordinary)
+        _READY[model] = Costs(model.toxic, model.ordinary)
     return _READY[model]
 
 
@@ -222,8 +237,8 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "s
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        gains = _gains(model)
-        return pd.Series([model.score(gains, t) for t in texts], dtype="float64")
+        costs = _costs(model)
+        return pd.Series([model.score(costs, t) for t in texts], dtype="float64")
 
     given = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return df.withColumn(score, scored(given))
