@@ -55,7 +55,7 @@ DEPTH, STEP = 4, 2
 BLOCK, NODE_WORK = 512, 1 << 23
 MAX_DEPTH = 64
 SIGMAS = 3.5
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 _U = np.uint64
 _MULTIPLIERS = (np.arange(1, COORDINATES + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15) >> _U(32)).astype(np.uint32) | np.uint32(1)
