@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .registry import query, table, without
 
 #: Characters of a block. One longer text is a block of its own.
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 8_000_000
 #: Rows that are decoded and digested at once.
 ROWS_AT_ONCE = 500
 #: White space in the sense of the split pattern.
@@ -88,7 +88,7 @@ def _splitter(pattern: str):
 
 def _pack(*parts: bytes) -> bytes:
     lengths = np.array([len(p) for p in parts], dtype="<u4").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(lengths + b"".join(parts))
+    return zstandard.ZstdCompressor(level=6).compress(lengths + b"".join(parts))
 
 
 def _unpack(packed: bytes, n: int) -> list[bytes]:
