@@ -37,12 +37,14 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows with a null doc_id belong to no group and stay. Of rows that repeat a doc_id one stays.
     """
     found = materialize(neardup.near_duplicates(docs, width=5, percent=80), "near-duplicates")
-    kept = found.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
-    staying = docs.join(kept.distinct(), "doc_id", "left_semi")
-    rows, ids = kept.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
-    if rows != ids:
-        staying = staying.dropDuplicates(["doc_id"])
-    return staying.unionByName(docs.where(F.col("doc_id").isNull()))
+    known = found.where(F.col("doc_id").isNotNull())
+    dropped = known.where(~F.col("kept")).select("doc_id").distinct()
+    staying = neardup.having(docs, dropped, "doc_id", "left_anti")
+    rows, ids = known.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        return staying
+    once = staying.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return once.unionByName(staying.where(F.col("doc_id").isNull()))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import BROADCAST_ROWS
 from ..session import materialize
 from .registry import query, table
 
@@ -201,13 +202,25 @@ def _shared(paths: DataFrame) -> DataFrame:
     return materialize(paths.join(nodes, "path"), "nodes")
 
 
+def having(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi or anti join with distinct keys. They are written and counted: up to ``BROADCAST_ROWS`` the texts stay where they are."""
+    listed = materialize(keys, "listed-keys")
+    return df.join(F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed, key, how)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A table of narrow rows, written and read back in few files: loops write many of these."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartition(max(1, parts // 16)), name)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(key, label): the smallest key reachable from each key of ``edges`` (a, b) that is not it itself.
 
     Alternates two steps until nothing changes: every key points its larger neighbours, then its
     smaller ones, to the smallest it knows. Neighbourhoods are never gathered, only their minimum.
     """
-    now = materialize(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), "links")
+    now = _written(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), "links")
     mark = None
     while True:
         both = now.union(now.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
@@ -216,7 +229,7 @@ def components(edges: DataFrame) -> DataFrame:
         smallest = larger.groupBy("hi").agg(F.min("lo").alias("m"))
         joined = larger.join(smallest, "hi")
         smaller = joined.where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        now = materialize(smaller.union(smallest.select("hi", F.col("m").alias("lo"))).distinct(), "links")
+        now = _written(smaller.union(smallest.select("hi", F.col("m").alias("lo"))).distinct(), "links")
         seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first()
         if mark is not None and tuple(seen) == mark:
             return now.select(F.col("hi").alias("key"), F.col("lo").alias("label"))
@@ -294,7 +307,7 @@ def _live(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, Data
         F.sum("c").alias("size"), F.max(F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
     )
     nodes = nodes.where("labels > 1").select("path", "size", (F.col("size") - F.col("main.c")).alias("outside"), F.col("main.label").alias("main"))
-    nodes = materialize(nodes, "live-nodes")
+    nodes = _written(nodes, "live-nodes")
     return rows, nodes
 
 
@@ -360,12 +373,12 @@ def near_duplicates(
     def texts_of(rows: DataFrame) -> DataFrame:
         wanted = rows.select("key").distinct().join(sets.select(F.col("class").alias("key")).distinct(), "key")
         given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text")).where("key is not null and text is not null")
-        return materialize(given.join(wanted, "key", "left_semi").dropDuplicates(["key"]), "texts")
+        return materialize(having(given, wanted, "key", "left_semi").dropDuplicates(["key"]), "texts")
 
     def add(pairs: DataFrame) -> bool:
         """Confirm pairs and merge their components."""
         nonlocal labels
-        sure = materialize(_confirm(pairs, texts, width, percent), "confirmed")
+        sure = _written(_confirm(pairs, texts, width, percent), "confirmed")
         if sure.isEmpty():
             return False
         known = [] if labels is None else [labels.select(F.col("key").alias("a"), F.col("label").alias("b"))]
@@ -388,7 +401,7 @@ def near_duplicates(
             fit = nodes.where((work <= NODE_WORK) | F.lit(depth >= MAX_DEPTH))
             if fit.isEmpty():
                 break
-            found = materialize(_compare(_dealt(rows, fit, classes, best_only), percent, best_only), "candidates")
+            found = _written(_compare(_dealt(rows, fit, classes, best_only), percent, best_only), "candidates")
             if not found.isEmpty():
                 add(found)
         rows, nodes = _live(members, labels)
