@@ -146,6 +146,21 @@ def test_large_nodes_branch(spark, monkeypatch):
     assert len(wrong) <= 2, wrong
 
 
+def test_near_duplicates_of_nodes_that_become_small(spark, monkeypatch):
+    """The links of 1 to 4 bring the node of all six under the limit after its round's pass; 5 and 6 meet only there."""
+    words = [f"w{i}" for i in range(100)]
+    other = [f"v{i}" for i in range(100)]
+    third = [*words[8:], *[f"t{i}" for i in range(8)]]
+    lists = [[*words[:-1], "one"], words, [*third[:-1], "two"], third, other, [*other[:-1], "three"]]
+    docs = spark.createDataFrame([(i + 1, " ".join(x)) for i, x in enumerate(lists)], "doc_id long, text string")
+    places = [(1, k) for k in range(1, 7)] + [(2, k) for k in range(1, 5)]
+    monkeypatch.setattr(neardup, "_first_paths", lambda classes, trees: spark.createDataFrame(places, "path long, key long"))
+    run = lambda: {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 1, 80).collect()}
+    unlimited = run()
+    monkeypatch.setattr(neardup, "NODE_WORK", 12)
+    assert run() == unlimited == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
+
+
 @pytest.mark.parametrize("bits", [16, 40])
 def test_nearest_codes(spark, bits, monkeypatch):
     monkeypatch.setattr(hamming, "BLOCK_CODES", 64)

@@ -18,8 +18,9 @@ A node need not name all pairs: a component is known by any links that connect i
    most nodes;
 2. nodes whose classes are all connected by now are done, as are pairs within a component;
 3. of the rest, small nodes are compared exhaustively: first each class with its best partner in
-   another component, then all pairs that still lie in two components. A node's largest component is
-   split into blocks, and only classes outside it are compared with every block;
+   another component, then all pairs that still lie in two components, then those of nodes that have
+   become small by it, until there is none. A node's largest component is split into blocks, and only
+   classes outside it are compared with every block;
 4. where that would take more than ``NODE_WORK`` comparisons, the node branches on, and all starts
    again for its children.
 
@@ -395,16 +396,23 @@ def near_duplicates(
         # half of what a pair at the threshold shares; the others are met below
         enough = F.col("m.c") >= (per_class * (percent / 100) ** depth / 2 if depth == DEPTH else 1)
         add(best.where(enough).select(F.col("key").alias("a"), (-F.col("m.p")).alias("b")))
-        for best_only in (True, False):
+        best_only, compared = True, None
+        while True:
             rows, nodes = _live(members, labels)
             work = F.col("size") * F.col("outside")
             fit = nodes.where((work <= NODE_WORK) | F.lit(depth >= MAX_DEPTH))
+            if compared is not None:
+                fit = fit.join(compared, "path", "left_anti")
             if fit.isEmpty():
                 break
             found = _written(_compare(_dealt(rows, fit, classes, best_only), percent, best_only), "candidates")
+            if not best_only:  # merging may bring further nodes under the limit: they are next
+                done = fit.select("path")
+                compared = done if compared is None else compared.union(done)
             if not found.isEmpty():
                 add(found)
-        rows, nodes = _live(members, labels)
+            best_only = False
+        # a node's work only shrinks, so none of those compared is among these
         heavy = nodes.where(F.col("size") * F.col("outside") > NODE_WORK)
         if depth >= MAX_DEPTH or heavy.isEmpty():
             break
