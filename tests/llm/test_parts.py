@@ -161,6 +161,29 @@ def test_near_duplicates_of_nodes_that_become_small(spark, monkeypatch):
     assert run() == unlimited == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
 
 
+def test_trees_follow_from_the_threshold(spark, monkeypatch):
+    """Simulated tokens of pairs at 0.8 and 0.85, and what near_duplicates asks for."""
+    rng = np.random.default_rng(3)
+    for percent in (80, 85):
+        trees = neardup.trees_for(percent)
+        one = rng.integers(0, 1 << 16, (20_000, neardup.COORDINATES)).astype(np.uint16)
+        two = np.where(rng.random(one.shape) < percent / 100, one, one + np.uint16(1))
+        roots = np.tile(neardup._mix(np.arange(1, trees + 1, dtype=np.uint64)), (len(one), 1))
+        a, b = (np.sort(neardup.descend(roots, x, neardup.DEPTH), axis=1) for x in (one, two))
+        apart = sum(not np.intersect1d(x, y).size for x, y in zip(a, b, strict=True))
+        assert apart <= 1.5 * neardup.MISSED * len(one)
+        assert apart == pytest.approx(neardup.missed(percent, trees) * len(one), abs=12)
+    asked = []
+    first = neardup._first_paths
+    monkeypatch.setattr(neardup, "_first_paths", lambda classes, trees: asked.append(trees) or first(classes, trees))
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    neardup.near_duplicates(docs)
+    neardup.near_duplicates(docs, trees=2)
+    assert asked == [neardup.trees_for(80), 2] and asked[0] >= 3
+    with pytest.raises(ValueError):
+        neardup.trees_for(5)
+
+
 @pytest.mark.parametrize("bits", [16, 40])
 def test_nearest_codes(spark, bits, monkeypatch):
     monkeypatch.setattr(hamming, "BLOCK_CODES", 64)

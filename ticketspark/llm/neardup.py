@@ -10,7 +10,9 @@ named by the coordinate and its own token there. Classes that are alike in all b
 most tokens and stay together; others part. With two choices a pair at similarity s survives a level
 when either child keeps it, so the chance p to stay together at any depth solves
 p = 1 - (1 - s p)^2: at least 0.96 for s = 0.85 and 0.93 for s = 0.8 in each tree, and missing a pair
-takes all trees. A node of one class is dropped at once.
+takes all trees. All trees use the same tokens, so they also fail together when these agree less often
+than the sets; ``trees_for`` counts that in and takes as many trees as keep the chance to miss a pair at
+the threshold to ``MISSED``. A node of one class is dropped at once.
 
 A node need not name all pairs: a component is known by any links that connect it. So
 
@@ -33,6 +35,7 @@ that no tree keeps together or that the estimate misses by more than that.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -46,7 +49,9 @@ from ..operators.joins import BROADCAST_ROWS
 from ..session import materialize
 from .registry import query, table
 
-COORDINATES, TREES, CHOICES = 128, 2, 2
+COORDINATES, CHOICES = 128, 2
+#: Chance that no tree keeps a pair at the threshold together; trees that a caller must ask for if it takes more.
+MISSED, MANY_TREES = 0.001, 64
 #: Ranges of the sketch; a power of two.
 BINS = 512
 #: Nodes in which a class looks for its best partner, before all pairs are looked at.
@@ -140,6 +145,28 @@ def descend(paths: np.ndarray, tokens: np.ndarray, levels: int) -> np.ndarray:
     return paths
 
 
+def missed(percent: int, trees: int) -> float:
+    """Chance that no tree keeps a pair at the threshold together through the first descent.
+
+    The tokens that agree are as many as so many draws have it, and are the same in all trees.
+    """
+    s, total = percent / 100, 0.0
+    for agree in range(COORDINATES + 1):
+        p = 1.0
+        for _ in range(DEPTH):
+            p = 1 - (1 - agree / COORDINATES * p) ** CHOICES
+        total += math.comb(COORDINATES, agree) * s**agree * (1 - s) ** (COORDINATES - agree) * (1 - p) ** trees
+    return total
+
+
+def trees_for(percent: int) -> int:
+    """The fewest trees that miss a pair at the threshold with a chance of at most ``MISSED``."""
+    for trees in range(1, MANY_TREES + 1):
+        if missed(percent, trees) <= MISSED:
+            return trees
+    raise ValueError(f"a threshold of {percent} percent takes more than {MANY_TREES} trees; pass their number")
+
+
 def _tokens(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(v.as_buffer() for v in column), np.uint16).reshape(-1, COORDINATES)
 
@@ -340,7 +367,7 @@ def _dealt(rows: DataFrame, nodes: DataFrame, classes: DataFrame, best_only: boo
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", trees: int = TREES
+    docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", trees: int | None = None
 ) -> DataFrame:
     """key, n_shingles, component_id, kept: one row for each row of ``docs``.
 
@@ -349,8 +376,10 @@ def near_duplicates(
     null or empty text, or one without words, has an empty set and is linked with nothing. Rows with a
     null key are linked with nothing either: their component is null and they are kept. Rows that
     repeat a key share its component; if their texts have different sets, all are judged by the smallest
-    text. Other columns of ``docs`` are not read. Runs several jobs.
+    text. Other columns of ``docs`` are not read. ``trees`` follows from the threshold unless it is given.
+    Runs several jobs.
     """
+    trees = trees_for(percent) if trees is None else trees
     features = materialize(_features(docs, key, text, width), "shingles")
     whole = features.where(F.col("key").isNotNull() & F.col("set_id").isNotNull())
     odd = whole.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high")
