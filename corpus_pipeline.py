@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketspark.llm import neardup, packing, quality, toxicity
+from ticketspark.llm import neardup, packing, quality, sharding, toxicity
 from ticketspark.llm.registry import table
 from ticketspark.session import materialize
 
@@ -34,17 +34,26 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word runs, 0.8): the smallest doc_id.
 
-    Rows with a null doc_id belong to no group and stay. Of rows that repeat a doc_id one stays.
+    Rows with a null doc_id belong to no group and stay. Of rows that repeat both doc_id and text one
+    stays. Different texts of one doc_id are judged each for itself, so a doc_id may stay with several.
     """
-    found = materialize(neardup.near_duplicates(docs, width=5, percent=80), "near-duplicates")
-    known = found.where(F.col("doc_id").isNotNull())
-    dropped = known.where(~F.col("kept")).select("doc_id").distinct()
-    staying = neardup.having(docs, dropped, "doc_id", "left_anti")
-    rows, ids = known.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    rows, ids = docs.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
     if rows == ids:
-        return staying
-    once = staying.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return once.unionByName(staying.where(F.col("doc_id").isNull()))
+        return _without_near_copies(docs)
+    doc, digest = F.struct(*docs.columns).alias("doc"), F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    named = docs.where(F.col("doc_id").isNotNull()).select(doc, F.col("doc_id").cast("long").alias("id"), digest.alias("digest"))
+    # numbered by doc_id first, so that a group's smallest number has its smallest doc_id
+    numbers = sharding.number_rows(named.select("id", "digest").distinct(), ["id", "digest"], "number")[0]
+    once = named.dropDuplicates(["id", "digest"]).join(numbers, ["id", "digest"])
+    once = materialize(once.select("doc", F.col("number").alias("doc_id"), F.col("doc.text").alias("text")), "numbered-texts")
+    return _without_near_copies(once).select("doc.*").unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def _without_near_copies(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs``, whose doc_ids are distinct or null, that are kept."""
+    found = materialize(neardup.near_duplicates(docs, width=5, percent=80), "near-duplicates")
+    dropped = found.where(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
+    return neardup.having(docs, dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,3 +21,15 @@ def test_run(spark, data):
     assert sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows) == wanted
     check_sequences(rows, 4096)
     assert len(alone) < len(clean) < len(texts)
+
+
+def test_near_duplicates_of_repeated_ids(spark, data):
+    """Texts that share an id are judged each for itself."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    near = lambda text: text.rsplit(" ", 1)[0] + " end"
+    rows = [(1, one), (1, two), (1, one), (2, near(two)), (3, near(one)), (4, three), (5, None), (5, ""), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicate_filter(spark, docs, data)
+    assert kept.columns == docs.columns
+    wanted = [(1, one), (1, two), (4, three), (5, None), (5, ""), (None, one)]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(wanted, key=str)
