@@ -207,3 +207,33 @@ def test_nearest_codes(spark, bits, monkeypatch):
 def test_toxicity_without_both_labels():
     model = toxicity.fit([b"only"], [], 0.5)
     assert 0 <= model.score(None, b"any text") <= 1
+
+
+def _toxic_rows(before):
+    """Ordinary texts, and toxic ones that differ in a word behind ``before`` ordinary words."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(400)]
+    prose = lambda: " ".join(rng.choice(words, before))
+    rude = ["zuxqwork", "xqwyzzle", "qwuzzkin"]
+    return [(i, f"{prose()} {rude[i % 3]}", 1) if i % 3 == 0 else (i, prose(), 0) for i in range(300)]
+
+
+def _learned(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return toxicity.learn(frame.select("doc_id", "toxic"), frame.select("doc_id", "text"))
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    rows = _toxic_rows(1500)
+    assert min(len(t) for _, t, _ in rows) > 10_000
+    model = _learned(spark, rows)
+    costs = toxicity.Costs(model.toxic, model.ordinary) if model.toxic else None
+    assert all((model.score(costs, t.encode()) >= 0.7) == bool(label) for _, t, label in rows)
+
+
+def test_toxicity_of_a_table_equals_that_of_lists(spark):
+    rows = [*_toxic_rows(40), (1000, "ab", 0), (1001, "ab", 1), (1002, "", 0)]
+    pick = lambda value: [t.encode() for _, t, label in rows if label == value]
+    one, two = _learned(spark, rows), toxicity.fit(pick(1), pick(0), sum(r[2] for r in rows) / len(rows))
+    assert one.toxic and (one.toxic, one.ordinary) == (two.toxic, two.ordinary)
+    assert one.weights == pytest.approx(two.weights)

@@ -16,7 +16,8 @@ its number of windows and shares of it. A logistic curve, fitted on labelled row
 seen, turns them into the probability that the label is 1.
 
 The sample is bounded: ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` labelled rows, chosen by a hash of their
-id, and of each at most ``SAMPLE_CHARS`` characters. Scoring always reads whole texts.
+id. Learning and scoring read whole texts. Texts stay in the tasks: the driver gets byte runs with their
+counts, the windows that the dictionaries are trained on, and the features of rows that fit the curve.
 """
 
 from __future__ import annotations
@@ -33,17 +34,20 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .licenses import normalised
 from .registry import query, table
 
-#: Bounds of the training sample: rows of each label, characters of each row.
-TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_CHARS = 2000, 6000, 10_000
+#: Bounds of the training sample: rows of each label.
+TOXIC_ROWS, ORDINARY_ROWS = 2000, 6000
 #: Share of the sampled rows that fit the curve; the others train the dictionaries.
 CURVE_SHARE = 0.4
 PIECE, GRAM = 48, 5
 #: How much likelier in toxic rows a run of bytes must be; the value with the better curve is taken.
 ODDS = (20.0, 6.0)
 TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 6000, 65536, 6
+#: Windows that the ordinary dictionary is trained on.
+USUAL = 120_000
 CARRIER = bytes(c for c in range(1, 32) if c not in (9, 10, 13))
 #: Costs of single windows that a worker remembers.
 REMEMBERED = 300_000
@@ -147,47 +151,153 @@ def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
     return w
 
 
+def _cut(n: int) -> int:
+    """How many of ``n`` texts of a label, in their mixed order, train the dictionaries."""
+    return max(1, round(n * (1 - CURVE_SHARE)))
+
+
+def _grams(found: Iterable[bytes]) -> set[bytes]:
+    return {w[i : i + GRAM] for w in found for i in range(len(w) - GRAM + 1)}
+
+
+def _spread(found: list[bytes]) -> list[bytes]:
+    # numbered first, so that repeated windows are spread too
+    return [w for _, w in sorted((zlib.crc32(b"%d" % i), w) for i, w in enumerate(found))]
+
+
+class _Texts:
+    """A sample held in lists: the first texts of each label train the dictionaries, the others fit the curve."""
+
+    def __init__(self, toxic: list[bytes], ordinary: list[bytes]):
+        toxic, ordinary = _mixed(set(toxic)), _mixed(set(ordinary) - set(toxic))
+        self.sizes = len(toxic), len(ordinary)
+        cuts = [_cut(n) for n in self.sizes]
+        self._train = toxic[: cuts[0]], ordinary[: cuts[1]]
+        self._curve = toxic[cuts[0] :], ordinary[cuts[1] :]
+
+    def grams(self, least: int) -> list[tuple[bytes, int, int]]:
+        """Runs of ``GRAM`` bytes that at least so many toxic texts hold; how many toxic and ordinary texts hold them."""
+        toxic, ordinary = (Counter(g for t in texts for g in _grams(set(windows(t)))) for texts in self._train)
+        return [(g, n, ordinary[g]) for g, n in toxic.items() if n >= least]
+
+    def usual(self) -> list[bytes]:
+        """The first ``USUAL`` of the spread windows of ordinary texts."""
+        return _spread([w for t in self._train[1] for w in sorted(set(windows(t)))])[:USUAL]
+
+    def marked(self, telling: set[bytes]) -> list[bytes]:
+        """Windows of toxic texts that hold a telling run, text by text."""
+        return [w for t in self._train[0] for w in sorted(set(windows(t))) if _grams([w]) & telling]
+
+    def features(self, models: list[Model]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Features and labels of the texts for the curve, for each model."""
+        y = np.array([1.0] * len(self._curve[0]) + [0.0] * len(self._curve[1]))
+        out = []
+        for model in models:
+            costs = Costs(model.toxic, model.ordinary)
+            out.append((np.array([costs.features(t) for part in self._curve for t in part]), y))
+        return out
+
+
+class _Rows:
+    """The same of a table (_label, _text, _digest) with few rows of any length, whose texts stay in the tasks."""
+
+    def __init__(self, rows: DataFrame):
+        # at most as many short rows as are sampled
+        heads = rows.select("_label", F.crc32("_text").alias("crc"), "_digest").distinct().collect()
+        toxic = {(r["crc"], r["_digest"]) for r in heads if r["_label"] == 1}
+        ordinary = {(r["crc"], r["_digest"]) for r in heads if r["_label"] == 0} - toxic
+        self.sizes = len(toxic), len(ordinary)
+        places = [
+            (digest, label, at, at < _cut(len(found)))
+            for label, found in ((1, toxic), (0, ordinary))
+            for at, (_, digest) in enumerate(sorted(found))
+        ]
+        listed = rows.sparkSession.createDataFrame(places, "_digest string, _label int, _at long, _trains boolean")
+        placed = rows.join(F.broadcast(listed), ["_digest", "_label"]).dropDuplicates(["_digest"])
+        placed = materialize(placed.select("_label", "_at", "_trains", "_text"), "toxicity-sample")
+        self._curve = placed.where(~F.col("_trains")).select("_label", "_at", "_text")
+
+        def distinct(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+            for batch in batches:
+                found = [sorted(set(windows(t))) for t in batch["_text"]]
+                yield pd.DataFrame({"_label": batch["_label"], "_at": batch["_at"], "n": [len(f) for f in found], "windows": found})
+
+        trains = placed.where("_trains").select("_label", "_at", "_text")
+        self._train = materialize(trains.mapInPandas(distinct, "_label int, _at long, n long, windows array<binary>"), "toxicity-windows")
+
+    def grams(self, least: int) -> list[tuple[bytes, int, int]]:
+        def counted(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+            for batch in batches:
+                for label, rows in batch.groupby("_label"):
+                    found = Counter(g for f in rows["windows"] for g in _grams(f))
+                    yield pd.DataFrame({"g": list(found), "n": [n * label for n in found.values()], "m": [n * (1 - label) for n in found.values()]})
+
+        counts = self._train.select("_label", "windows").mapInPandas(counted, "g binary, n long, m long")
+        held = counts.groupBy("g").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).where(F.col("n") >= least)
+        return [(bytes(r["g"]), r["n"], r["m"]) for r in held.collect()]
+
+    def usual(self) -> list[bytes]:
+        ordinary = self._train.where("_label = 0")
+        # narrow rows, as many as are sampled
+        sizes = ordinary.select("_at", "n").orderBy("_at").collect()
+        ends = np.cumsum([r["n"] for r in sizes]).tolist()
+        first = self._train.sparkSession.createDataFrame([(r["_at"], end - r["n"]) for r, end in zip(sizes, ends, strict=True)], "_at long, first long")
+        each = ordinary.join(F.broadcast(first), "_at").select("first", F.posexplode("windows").alias("i", "w"))
+        place = F.crc32((F.col("first") + F.col("i")).cast("string").cast("binary")).alias("place")
+        return [bytes(r["w"]) for r in each.select(place, "w").orderBy("place", "w").limit(USUAL).collect()]
+
+    def marked(self, telling: set[bytes]) -> list[bytes]:
+        def tells(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+            for batch in batches:
+                found = [(at, w) for at, f in zip(batch["_at"], batch["windows"], strict=True) for w in f if _grams([w]) & telling]
+                yield pd.DataFrame(found, columns=["_at", "w"])
+
+        rows = self._train.where("_label = 1").select("_at", "windows").mapInPandas(tells, "_at long, w binary").collect()
+        return [w for _, w in sorted((r["_at"], bytes(r["w"])) for r in rows)]
+
+    def features(self, models: list[Model]) -> list[tuple[np.ndarray, np.ndarray]]:
+        def of(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+            costs = [Costs(m.toxic, m.ordinary) for m in models]
+            for batch in batches:
+                x = [[v for c in costs for v in c.features(t)] for t in batch["_text"]]
+                yield pd.DataFrame({"_label": batch["_label"], "_at": batch["_at"], "x": x})
+
+        rows = self._curve.mapInPandas(of, "_label int, _at long, x array<double>").collect()
+        rows = sorted(rows, key=lambda r: (-r["_label"], r["_at"]))
+        x, y = np.array([r["x"] for r in rows]), np.array([float(r["_label"]) for r in rows])
+        return [(x[:, i * FEATURES : (i + 1) * FEATURES], y) for i in range(len(models))]
+
+
 def fit(toxic: list[bytes], ordinary: list[bytes], prior: float) -> Model:
-    """Model of two bounded lists of texts. ``prior`` is the share of label 1 among the labelled rows.
+    """Model of two lists of texts. ``prior`` is the share of label 1 among the labelled rows.
 
     Without texts of both labels the score is the prior, for every text.
     """
-    toxic, ordinary = _mixed(set(toxic)), _mixed(set(ordinary) - set(toxic))
+    return _fit(_Texts(toxic, ordinary), prior)
+
+
+def _fit(sample: _Texts | _Rows, prior: float) -> Model:
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     constant = Model(b"", b"", (math.log(prior / (1 - prior)),))
-    cuts = [max(1, round(len(t) * (1 - CURVE_SHARE))) for t in (toxic, ordinary)]
-    if min(len(toxic), len(ordinary)) < 2:
+    if min(sample.sizes) < 2:
         return constant
-    t_dict, o_dict = toxic[: cuts[0]], ordinary[: cuts[1]]
-
-    def grams(texts: list[bytes]) -> Counter:
-        found: Counter = Counter()
-        for t in texts:
-            found.update({w[i : i + GRAM] for w in set(windows(t)) for i in range(len(w) - GRAM + 1)})
-        return found
-
-    in_toxic, in_ordinary = grams(t_dict), grams(o_dict)
-    least = max(2, round(len(t_dict) / 150))
-    ratio = (len(o_dict) + 1) / (len(t_dict) + 1)
-    odds = {g: (n + 0.5) / (in_ordinary[g] + 0.5) * ratio for g, n in in_toxic.items() if n >= least}
-    usual = [w for t in o_dict for w in sorted(set(windows(t)))]
-    # numbered first, so that repeated windows are spread too
-    spread = lambda found: [w for _, w in sorted((zlib.crc32(b"%d" % i), w) for i, w in enumerate(found))]
+    n_toxic, n_ordinary = (_cut(n) for n in sample.sizes)
+    ratio = (n_ordinary + 1) / (n_toxic + 1)
+    odds = {g: (n + 0.5) / (m + 0.5) * ratio for g, n, m in sample.grams(max(2, round(n_toxic / 150)))}
+    usual = sample.usual()
     if not usual:
         return constant
-    ordinary_dictionary = _train(spread(usual)[:120_000], ORDINARY_BYTES)
-    y = np.array([1.0] * len(toxic[cuts[0] :]) + [0.0] * len(ordinary[cuts[1] :]))
+    ordinary_dictionary = _train(usual, ORDINARY_BYTES)
+    telling = [{g for g, o in odds.items() if o >= goal} for goal in ODDS]
+    every = sample.marked(set().union(*telling))
+    models = []
+    for runs in telling:
+        marked = [w for w in every if _grams([w]) & runs]
+        if marked:
+            size = min(TOXIC_BYTES, max(512, sum(map(len, marked)) // 8))
+            models.append(Model(_train(_spread(marked), size), ordinary_dictionary, ()))
     best, least_loss = constant, math.inf
-    for goal in ODDS:
-        telling = {g for g, o in odds.items() if o >= goal}
-        tells = lambda w, telling=telling: any(w[i : i + GRAM] in telling for i in range(len(w) - GRAM + 1))
-        marked = [w for t in t_dict for w in sorted(set(windows(t))) if tells(w)]
-        if not marked or len(set(y)) < 2:
-            continue
-        size = min(TOXIC_BYTES, max(512, sum(map(len, marked)) // 8))
-        model = Model(_train(spread(marked), size), ordinary_dictionary, ())
-        costs = Costs(model.toxic, model.ordinary)
-        x = np.array([costs.features(t) for t in [*toxic[cuts[0] :], *ordinary[cuts[1] :]]])
+    for model, (x, y) in zip(models, sample.features(models) if models else [], strict=True):
         w = _curve(x, y)
         z = np.clip(np.column_stack([np.ones(len(x)), x]) @ w, -30, 30)
         loss = float(np.mean(np.log1p(np.exp(-np.where(y == 1, z, -z)))))
@@ -200,7 +310,7 @@ def learn(labelled: DataFrame, docs: DataFrame, key: str = "doc_id", label: str
     """Model from ``labelled`` (key, label), which must hold only rows that may be learned from.
 
     Rows are chosen by a hash of their key, so the sample does not depend on files or partitions. At
-    most ``TOXIC_ROWS + ORDINARY_ROWS`` keys and texts come to the driver. Rows without a label, a key
+    most ``TOXIC_ROWS + ORDINARY_ROWS`` keys are chosen, and no texts come to the driver. Rows without a label, a key
     or a text are left out; a repeated key counts once for each of its labels.
     """
     known = labelled.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
@@ -209,12 +319,12 @@ def learn(labelled: DataFrame, docs: DataFrame, key: str = "doc_id", label: str
         known.where(F.col("_label") == value).orderBy(F.xxhash64("_key"), "_key").limit(n)
         for value, n in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))
     ]
-    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.substring(text, 1, SAMPLE_CHARS).cast("binary").alias("_text"))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("_text"))
     # both bounds are above: the chosen keys are few enough to broadcast
-    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_key").select("_label", "_text").collect()
+    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_key").withColumn("_digest", F.sha2("_text", 256))
+    rows = materialize(rows, "toxicity-rows")
     share = known.agg(F.avg("_label")).first()[0]
-    pick = lambda value: [bytes(r["_text"]) for r in rows if r["_label"] == value]
-    return fit(pick(1), pick(0), 0.5 if share is None else share)
+    return _fit(_Rows(rows), 0.5 if share is None else share)
 
 
 _READY: dict[Model, Costs] = {}
