@@ -8,7 +8,8 @@ with a short carrier that both dictionaries end in. Without it a short window is
 both lengths are alike.
 
 Toxic rows consist mostly of ordinary words, so the toxic dictionary is trained on those windows of
-toxic rows that hold a run of ``GRAM`` bytes which far more toxic than ordinary rows hold.
+toxic rows that hold a run of ``GRAM`` bytes which far more toxic than ordinary rows hold. A long ordinary
+text holds many runs once, so it counts for a run by the share of its parts of ``PART`` windows that hold it.
 
 A text's features are its largest gain, the numbers of windows beyond some gains, also of those that
 the toxic dictionary holds whole (they cost one match, ``WHOLE`` bytes beyond the carrier's) or nearly,
@@ -46,6 +47,8 @@ PIECE, GRAM = 48, 5
 #: How much likelier in toxic rows a run of bytes must be; the value with the better curve is taken.
 ODDS = (20.0, 6.0)
 TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 6000, 65536, 6
+#: Windows in a part of an ordinary text, and what a text counts for.
+PART, UNIT = 1500, 1 << 20
 #: Windows that the ordinary dictionary is trained on.
 USUAL = 120_000
 CARRIER = bytes(c for c in range(1, 32) if c not in (9, 10, 13))
@@ -160,6 +163,15 @@ def _grams(found: Iterable[bytes]) -> set[bytes]:
     return {w[i : i + GRAM] for w in found for i in range(len(w) - GRAM + 1)}
 
 
+def _held(text: bytes, label: int) -> dict[bytes, int]:
+    """What a text counts for each run it holds, in whole numbers whose sums do not depend on their order."""
+    found = windows(text)
+    if label:
+        return dict.fromkeys(_grams(set(found)), 1)
+    parts = [set(found[i : i + PART]) for i in range(0, len(found), PART)]
+    return {g: n * UNIT // len(parts) for g, n in Counter(g for part in parts for g in _grams(part)).items()}
+
+
 def _spread(found: list[bytes]) -> list[bytes]:
     # numbered first, so that repeated windows are spread too
     return [w for _, w in sorted((zlib.crc32(b"%d" % i), w) for i, w in enumerate(found))]
@@ -176,8 +188,11 @@ class _Texts:
         self._curve = toxic[cuts[0] :], ordinary[cuts[1] :]
 
     def grams(self, least: int) -> list[tuple[bytes, int, int]]:
-        """Runs of ``GRAM`` bytes that at least so many toxic texts hold; how many toxic and ordinary texts hold them."""
-        toxic, ordinary = (Counter(g for t in texts for g in _grams(set(windows(t)))) for texts in self._train)
+        """Runs of ``GRAM`` bytes that at least so many toxic texts hold, that number, and what ordinary texts count."""
+        toxic, ordinary = Counter(), Counter()
+        for label, total in ((1, toxic), (0, ordinary)):
+            for t in self._train[1 - label]:
+                total.update(_held(t, label))
         return [(g, n, ordinary[g]) for g, n in toxic.items() if n >= least]
 
     def usual(self) -> list[bytes]:
@@ -222,17 +237,19 @@ class _Rows:
                 found = [sorted(set(windows(t))) for t in batch["_text"]]
                 yield pd.DataFrame({"_label": batch["_label"], "_at": batch["_at"], "n": [len(f) for f in found], "windows": found})
 
-        trains = placed.where("_trains").select("_label", "_at", "_text")
-        self._train = materialize(trains.mapInPandas(distinct, "_label int, _at long, n long, windows array<binary>"), "toxicity-windows")
+        self._learned = placed.where("_trains").select("_label", "_at", "_text")
+        self._train = materialize(self._learned.mapInPandas(distinct, "_label int, _at long, n long, windows array<binary>"), "toxicity-windows")
 
     def grams(self, least: int) -> list[tuple[bytes, int, int]]:
         def counted(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
             for batch in batches:
                 for label, rows in batch.groupby("_label"):
-                    found = Counter(g for f in rows["windows"] for g in _grams(f))
+                    found: Counter = Counter()
+                    for t in rows["_text"]:
+                        found.update(_held(t, label))
                     yield pd.DataFrame({"g": list(found), "n": [n * label for n in found.values()], "m": [n * (1 - label) for n in found.values()]})
 
-        counts = self._train.select("_label", "windows").mapInPandas(counted, "g binary, n long, m long")
+        counts = self._learned.select("_label", "_text").mapInPandas(counted, "g binary, n long, m long")
         held = counts.groupBy("g").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).where(F.col("n") >= least)
         return [(bytes(r["g"]), r["n"], r["m"]) for r in held.collect()]
 
@@ -283,7 +300,7 @@ def _fit(sample: _Texts | _Rows, prior: float) -> Model:
         return constant
     n_toxic, n_ordinary = (_cut(n) for n in sample.sizes)
     ratio = (n_ordinary + 1) / (n_toxic + 1)
-    odds = {g: (n + 0.5) / (m + 0.5) * ratio for g, n, m in sample.grams(max(2, round(n_toxic / 150)))}
+    odds = {g: (n + 0.5) / (m / UNIT + 0.5) * ratio for g, n, m in sample.grams(max(2, round(n_toxic / 150)))}
     usual = sample.usual()
     if not usual:
         return constant
