@@ -237,3 +237,12 @@ def test_toxicity_of_a_table_equals_that_of_lists(spark):
     one, two = _learned(spark, rows), toxicity.fit(pick(1), pick(0), sum(r[2] for r in rows) / len(rows))
     assert one.toxic and (one.toxic, one.ordinary) == (two.toxic, two.ordinary)
     assert one.weights == pytest.approx(two.weights)
+
+
+def test_toxicity_learns_one_text_of_a_key(spark, monkeypatch):
+    """However many rows a chosen key has."""
+    held = []
+    monkeypatch.setattr(toxicity, "_fit", lambda sample, prior: held.append(sample.sizes))
+    rows = _toxic_rows(5)[:4] + [(0, f"other text {i}", 1) for i in range(200)]
+    _learned(spark, rows)
+    assert held == [(2, 2)]

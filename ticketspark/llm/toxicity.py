@@ -328,7 +328,8 @@ def learn(labelled: DataFrame, docs: DataFrame, key: str = "doc_id", label: str
 
     Rows are chosen by a hash of their key, so the sample does not depend on files or partitions. At
     most ``TOXIC_ROWS + ORDINARY_ROWS`` keys are chosen, and no texts come to the driver. Rows without a label, a key
-    or a text are left out; a repeated key counts once for each of its labels.
+    or a text are left out; a repeated key counts once for each of its labels, with the text of the
+    smallest hash if ``docs`` has several.
     """
     known = labelled.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
     known = known.distinct()
@@ -339,7 +340,10 @@ def learn(labelled: DataFrame, docs: DataFrame, key: str = "doc_id", label: str
     texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("_text"))
     # both bounds are above: the chosen keys are few enough to broadcast
     rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_key").withColumn("_digest", F.sha2("_text", 256))
-    rows = materialize(rows, "toxicity-rows")
+    # a key may be repeated in any number of rows: one text of each goes on
+    one = materialize(rows.groupBy("_key", "_label").agg(F.min("_digest").alias("_digest")), "toxicity-keys")
+    rows = rows.join(F.broadcast(one), ["_key", "_label", "_digest"]).dropDuplicates(["_key", "_label"])
+    rows = materialize(rows.select("_label", "_text", "_digest"), "toxicity-rows")
     share = known.agg(F.avg("_label")).first()[0]
     return _fit(_Rows(rows), 0.5 if share is None else share)
 
