@@ -20,7 +20,7 @@ the smallest key reachable over links. No step leaves anything to chance:
 A component is known by any links that connect it, so a group first meets only its first member, and a
 column only the first group of the row that it shares most rows with. Groups and rows that by then
 lie in one component are done; of the rest, those outside a row's main component query the others:
-first each class meets its best partner, then all that are left.
+first each class meets its best partner in a few rows, then all that are left.
 """
 
 from __future__ import annotations
@@ -32,12 +32,12 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
 from ..session import materialize
-from .neardup import _mix, _Words, components, having, shingles
+from .neardup import _mix, components, having
 from .registry import query, table
 
 #: Classes of a group, and bits of the smallest and largest bitmap.
@@ -48,12 +48,75 @@ FREQUENT, MOST_FREQUENT = 8, 1 << 20
 TOKENS_AT_ONCE, BUCKET_TOKENS = 1 << 21, 500_000
 #: Bits of a token in the counts (equal ones are ordered alike) and in the matrix (equal ones are one row), and of a group's number.
 COUNTED_BITS, ROW_BITS, GROUP_BITS = 40, 48, 40
-#: Groups of one block of a row.
-BLOCK = 512
+#: Groups of one block of a row; rounds in which classes look for their best partner, and rows where a group asks in these.
+BLOCK, BEST_ROUNDS, BEST_ROWS = 512, 2, 4
+#: Bytes of text that are hashed at once.
+TEXT_AT_ONCE = 1 << 20
 _U = np.uint64
 _SALTS = (_U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB))
 
 
+
+def _spread(n: int) -> np.ndarray:
+    """The first n numbers of a fixed pseudo-random sequence."""
+    return _mix(np.arange(1, n + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTE = _spread(256)
+_BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]  # A-Z count as a-z
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, _U(base))
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _hashed_words(data: np.ndarray, up: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word: its bytes' numbers as digits of a number modulo 2^64, then spread."""
+    inside = ~_SPACE[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    start, end = edges[::2], edges[1::2]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[: len(data)], dtype=np.uint64)])
+    return start, _mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def sets_of(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the runs of ``width`` words of each text; all words as one if there are fewer."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    factors = _spread(width)
+    up = down = np.zeros(0, np.uint64)
+    at = 0
+    while at < len(texts):
+        last = max(at + 1, int(np.searchsorted(offsets, offsets[at] + TEXT_AT_ONCE, "right")) - 1)
+        last = min(last, len(texts))
+        # a space before each text keeps its words apart from the one before
+        lengths = np.diff(offsets[at : last + 1])
+        begins = np.cumsum(lengths + 1) - lengths
+        part = np.insert(data[offsets[at] : offsets[last]], offsets[at:last] - offsets[at], 0x20)
+        if len(part) > len(up):
+            up, down = _powers(_BASE, len(part)), _powers(_INVERSE, len(part))
+        start, words = _hashed_words(part, up, down)
+        runs = np.zeros(max(0, len(words) - width + 1), np.uint64)
+        for k in range(width):
+            runs += words[k : k + len(runs)] * factors[k]
+        runs = _mix(runs)
+        first = np.searchsorted(start, begins)
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(words)]):
+            if b - a >= width:
+                found = np.sort(runs[a : b - width + 1])
+                yield found[np.flatnonzero(np.diff(found, prepend=~found[:1]))]
+            elif b > a:
+                yield _mix((words[a:b] * factors[: b - a]).sum(keepdims=True, dtype=np.uint64) + _U(b - a))
+            else:
+                yield np.zeros(0, np.uint64)
+        at = last
+
+
 def needed(n: np.ndarray | int, percent: int):
     """Tokens that a set of n must share with a linked one, at least."""
     return -(-percent * n // 100)
@@ -106,12 +169,11 @@ def _sets(docs: DataFrame, key: str, text: str, width: int, made, schema: str, n
     """``made(key, sorted tokens)`` for each row, as a row or None."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = _Words(), set()
+        seen: set[bytes] = set()
         for batch in batches:
             out = []
-            for k, value in zip(batch.column(0), batch.column(1), strict=True):
-                raw = value.as_buffer()
-                row = made(k.as_py(), shingles(raw.to_pybytes() if raw is not None else b"", width, words), seen)
+            for k, found in zip(batch.column(0).to_pylist(), sets_of(batch.column(1), width), strict=True):
+                row = made(k, found, seen)
                 if row is not None:
                     out.append(row)
                 if len(out) >= 2000:
@@ -152,7 +214,7 @@ def frequent_tokens(docs: DataFrame, text: str, width: int, total: int) -> tuple
     buckets, drop = _buckets(total), _U(64 - COUNTED_BITS)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, size = _Words(), [], 0
+        held, size = [], 0
 
         def flush() -> pa.RecordBatch:
             values, times = np.unique(np.concatenate(held), return_counts=True)
@@ -162,8 +224,7 @@ def frequent_tokens(docs: DataFrame, text: str, width: int, total: int) -> tuple
             return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["bucket", "tokens", "times"])
 
         for batch in batches:
-            for value in batch.column(0):
-                found = shingles(value.as_buffer().to_pybytes(), width, words)
+            for found in sets_of(batch.column(0), width):
                 held.append(found >> drop)
                 size += len(found)
                 if size >= TOKENS_AT_ONCE:
@@ -296,13 +357,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: in
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zstandard.compress(v.as_buffer(), 3) for v in batch.column(1)], pa.binary())], names=["key", "text"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, last, of_last = _Words(), None, None
+        last, of_last = None, None
+        one = lambda t: next(sets_of(pa.array([zstandard.decompress(t.as_buffer())], pa.binary()), width))
         for batch in batches:
             kept = []
             for i, (b, ta, tb) in enumerate(zip(*(batch.column(c) for c in (1, 2, 3)), strict=True)):
                 if b.as_py() != last:
-                    last, of_last = b.as_py(), shingles(zstandard.decompress(tb.as_buffer()), width, words)
-                mine = shingles(zstandard.decompress(ta.as_buffer()), width, words)
+                    last, of_last = b.as_py(), one(tb)
+                mine = one(ta)
                 same = len(np.intersect1d(mine, of_last, assume_unique=True))
                 if 100 * same >= percent * (len(mine) + len(of_last) - same):
                     kept.append(i)
@@ -360,10 +422,11 @@ def _first_met(groups: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
     return both.select("set_a", "set_b", "n_a", "map_a", "n_b", "map_b").mapInArrow(rows, "set_a binary, set_b binary")
 
 
-def _asked(matrix: DataFrame, state: DataFrame) -> DataFrame:
-    """(query_group, group): in each row with several components, those outside the main one ask the others.
+def _asked(matrix: DataFrame, state: DataFrame, rows_each: int | None) -> DataFrame:
+    """(query, group): in each row with several components, groups outside the main one ask the others.
 
-    A row of many groups is dealt into blocks, in all of which an asking group asks.
+    A row of many groups is dealt into blocks, in all of which an asking group asks. With ``rows_each`` a
+    group asks only in so many of its rows, the first by hash.
     """
     marks = matrix.join(state.select("group", "lot", "low", "high"), "group")
     lots = marks.groupBy("token", "lot").agg(F.count(F.lit(1)).alias("c"))
@@ -372,44 +435,69 @@ def _asked(matrix: DataFrame, state: DataFrame) -> DataFrame:
     rows = materialize(marks.join(live, "token"), "live-rows")
     home = F.pmod(F.xxhash64("group"), F.col("blocks")).cast("int")
     others = rows.select("token", home.alias("block"), "group", "lot", "low", "high")
+    asking = rows.where("lot <> main")
+    if rows_each is not None:
+        first = Window.partitionBy("group").orderBy(F.xxhash64("token"), "token")
+        asking = asking.withColumn("place", F.row_number().over(first)).where(F.col("place") <= rows_each)
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asking = rows.where("lot <> main").select("token", every.alias("block"), F.col("group").alias("query"), F.col("lot").alias("q_lot"), F.col("low").alias("q_low"), F.col("high").alias("q_high"))
+    asking = asking.select("token", every.alias("block"), F.col("group").alias("query"), F.col("lot").alias("q_lot"), F.col("low").alias("q_low"), F.col("high").alias("q_high"))
     pairs = asking.join(others, ["token", "block"]).where("q_lot <> lot")
-    # sizes of linked sets differ by the threshold at most; the margin is checked exactly later
-    fits = (F.col("q_low") <= F.col("high")) & (F.col("low") <= F.col("q_high"))
-    return pairs.where(fits).select(F.least("query", "group").alias("query"), F.greatest("query", "group").alias("group")).distinct()
+    # sizes of linked sets differ by the threshold at most; members are compared exactly later
+    pairs = pairs.where((F.col("q_low") <= F.col("high")) & (F.col("low") <= F.col("q_high")))
+    if rows_each is None:  # one direction is enough
+        pairs = pairs.select(F.least("query", "group").alias("query"), F.greatest("query", "group").alias("group"))
+    return pairs.select("query", "group").distinct()
+
 
+def _lacks(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that a set surely has more than each of others, and the others more than it."""
+    width = min(len(one), many.shape[1])
+    one = folded(one, width)
+    if many.shape[1] > width:
+        many = np.bitwise_or.reduce(many.reshape(len(many), -1, width), axis=1)
+    return np.bitwise_count(one & ~many).sum(axis=1, dtype=np.int64), np.bitwise_count(many & ~one).sum(axis=1, dtype=np.int64)
 
-def _opened(pairs: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
-    """(a, b, score) of classes in two components that the bounds let through."""
+
+def _opened(pairs: DataFrame, columns: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """(a, b) of classes in two components that the bounds let through.
+
+    With ``best_only`` a class of a query group names its best partner in each opened group, and of
+    these the best one stays.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, score = [], [], []
+            out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
             for n1, maps1, key1, lab1, n2, maps2, key2, lab2 in zip(*(c.to_pylist() for c in batch.columns)):
-                maps1, maps2 = ([np.frombuffer(m, np.uint8) for m in maps] for maps in (maps1, maps2))
+                maps2 = [np.frombuffer(m, np.uint8) for m in maps2]
                 width = min(map(len, maps2))
-                union = np.bitwise_or.reduce([folded(m, width) for m in maps2])
-                least, most = min(n2), max(n2)
-                for n, one, k, label in zip(n1, maps1, key1, lab1):
+                many = np.array([folded(m, width) for m in maps2])
+                union = np.bitwise_or.reduce(many)
+                m, labels, keys, least, most = np.array(n2), np.array(lab2), np.array(key2), min(n2), max(n2)
+                for n, bits, k, label in zip(n1, maps1, key1, lab1):
                     if 100 * most < percent * n or 100 * n < percent * least:
                         continue
-                    if len(maps2) > 1 and (100 + percent) * (n - lacking(one, union)) < percent * (n + max(least, needed(n, percent))):
+                    one = np.frombuffer(bits, np.uint8)
+                    if len(n2) > 1 and (100 + percent) * (n - lacking(one, union)) < percent * (n + max(least, needed(n, percent))):
                         continue  # no member can reach the threshold
-                    for m, other, k2, label2 in zip(n2, maps2, key2, lab2):
-                        if label == label2:
-                            continue
-                        overlap = min(n - lacking(one, other), m - lacking(other, one))
-                        if may_link(n, m, overlap, percent):
-                            a.append(min(k, k2))
-                            b.append(max(k, k2))
-                            score.append(overlap / (n + m - overlap))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(score, pa.float64())], names=["a", "b", "score"])
+                    more, less = _lacks(one, many)
+                    overlap = np.minimum(n - more, m - less)
+                    fits = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * overlap >= percent * (n + m))
+                    at = np.flatnonzero(fits & (labels != label))
+                    if len(at):
+                        score = overlap[at] / (n + m[at] - overlap[at])
+                        if best_only:
+                            at, score = at[[np.argmax(score)]], score.max(keepdims=True)
+                        out.append((np.full(len(at), k), keys[at], score))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query", "other", "score"])
 
     parts = ["ns", "maps", "classes", "labels"]
     one = columns.select(F.col("group").alias("query"), *[F.col(p).alias(f"q_{p}") for p in parts])
     both = pairs.join(one, "query").join(columns.select("group", *parts), "group")
-    return both.select(*[f"q_{p}" for p in parts], *parts).mapInArrow(rows, "a long, b long, score double").distinct()
+    found = both.select(*[f"q_{p}" for p in parts], *parts).mapInArrow(rows, "query long, other long, score double")
+    if best_only:
+        found = found.groupBy("query").agg(F.max(F.struct("score", "other")).alias("m")).select("query", F.col("m.other").alias("other"))
+    return found.select(F.least("query", "other").alias("a"), F.greatest("query", "other").alias("b")).distinct()
 
 
 def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -483,7 +571,7 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, ke
 
     sizes = groups.select("group", F.concat(F.array("rep_n"), "rest_n").alias("ns"), F.concat(F.array("rep_map"), "rest_maps").alias("maps"))
     ranges = groups.select("group", F.array_min(F.concat(F.array("rep_n"), "rest_n")).alias("low"), F.array_max(F.concat(F.array("rep_n"), "rest_n")).alias("high"))
-    for best_only in (True, True, False):
+    for best_only in [True] * BEST_ROUNDS + [False]:
         known = members.withColumn("label", F.col("class")) if labels is None else members.join(labels.withColumnRenamed("key", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
         listed = F.sort_array(F.collect_list(F.struct("at", "class", "label")))  # the members of a group
         state = known.groupBy("group").agg(listed.alias("m"), F.min("label").alias("first"), F.max("label").alias("last"))
@@ -493,18 +581,13 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, ke
         state = state.select("group", lot.alias("lot"), F.col("m.class").alias("classes"), F.col("m.label").alias("labels"))
         state = materialize(state.join(ranges, "group").withColumn("low", F.ceil(F.col("low") * percent / 100)), "state")
         alone = state.where("lot.mixed").select(F.col("group").alias("query"), "group")
-        pairs = materialize(_asked(matrix, state).union(alone), "asked")
+        pairs = materialize(_asked(matrix, state, BEST_ROWS if best_only else None).union(alone), "asked")
         if pairs.isEmpty():
             break
         columns = sizes.join(state.select("group", "classes", "labels"), "group")
         used = pairs.select(F.explode(F.array("query", "group")).alias("group")).distinct()
         columns = materialize(columns.join(used, "group", "left_semi"), "columns")
-        candidates = _opened(pairs, columns, percent)
-        if best_only:
-            candidates = materialize(candidates, "opened")
-            each = candidates.select(F.explode(F.array("a", "b")).alias("k"), "a", "b", "score")
-            candidates = each.groupBy("k").agg(F.max(F.struct("score", "a", "b")).alias("m")).select("m.a", "m.b")
-        add(candidates.select("a", "b").distinct())
+        add(_opened(pairs, columns, percent, best_only))
 
     joined = features.select("key", "n_shingles", "set_id").join(by_set, "set_id", "left")
     if labels is not None:
