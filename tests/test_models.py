@@ -128,8 +128,12 @@ def test_ticket_flow_forecasts_and_allocates(spark):
     assert ahead.agg(F.min("date")).first()[0] == day + dt.timedelta(days=2)
     given = cells.cell_events(raw)
     # a weekday and month without events falls back to mean weights, which need not sum to one
-    spread = tickets.allocate_forecast(ahead, given).groupBy("date").agg(F.sum("allocated").alias("a"))
-    assert spread.count() == ahead.select("date").distinct().count() and spread.where("a < 0").count() == 0
+    spread = tickets.allocate_forecast(ahead, given, "LinearRegression", 1).groupBy("date").agg(F.sum("allocated").alias("a"))
+    assert spread.count() == ahead.where("horizon = 1").count() and spread.where("a < 0").count() == 0
+    # another horizon's forecast of the same dates adds nothing
+    twice = ahead.union(ahead.withColumn("horizon", F.lit(9)).select(*ahead.columns))
+    again = tickets.allocate_forecast(twice, given, "LinearRegression", 1).groupBy("date").agg(F.sum("allocated").alias("a"))
+    assert sorted(r.a for r in again.collect()) == pytest.approx(sorted(r.a for r in spread.collect()))
     lagged = tickets.daily_matrix(raw, "agency", lagged_counts=True)
     assert lagged.orderBy("date").first()["agency_A0"] == 0
 

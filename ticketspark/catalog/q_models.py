@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregate, evaluate, models
+from ..functions import calendar
+from ..operators import aggregate, densify, evaluate, forward, models, moments
 from ..plans import cells as cell_plan
 from ..plans import daily as daily_plan
 from ..plans import tickets as ticket_plan
@@ -32,9 +33,18 @@ def linear(spark, d):
     return _board(spark, d, {"LinearRegression": models.linear})[0]
 
 
+def _lasso(rows, features):
+    train = models.contiguous_folds(rows.where("split = 'train'").dropna(subset=features), 5)
+    return moments.lasso_from_moments(train, features, "y_t_plus_1", "fold")[0]
+
+
 @query("l2_lasso_cv")
 def lasso(spark, d):
-    return _board(spark, d, {"LassoCV": models.lasso_cv}, [1])[0]
+    """A hundred penalties over five contiguous folds from one pass of moments, scored on the test rows."""
+    rows, features = _supervised(spark, d)
+    test = rows.where("split = 'test'").withColumns({"model": F.lit("LassoCV"), "horizon": F.lit(1)})
+    preds = test.select("model", "horizon", F.col("y_t_plus_1").cast("double").alias("y_true"), _lasso(rows, features).predict().alias("y_pred"))
+    return evaluate.summarize(preds, ["model", "horizon"])
 
 
 @query("l3_random_forest_importances")
@@ -200,3 +210,169 @@ def matrix(spark, d):
     t = fx.tickets(spark, d).withColumn("issue_date", F.col("issue_ts").cast("string"))
     x = ticket_plan.daily_matrix(t, "agency", "violation")
     return x.select("date", "tickets", "viol_F", "viol_OTHER", "days_since_start", "lag_1", "lag_3", "lag_7", r6("ma_7", "ma_7"))
+
+
+# the daily feature table's numeric columns
+_FEATURES = (
+    [f"num_violations_lag_{k}" for k in (1, 7, 14, 30)]
+    + ["num_violations_roll7_mean", "num_violations_roll30_mean", "num_violations_roll30_std", "year", "month", "is_holiday", "is_weekend"]
+    + ["roc_vs_roll7", "is_cherry_blossom", "is_eom", "sin_1", "cos_1", "sin_2", "cos_2"]
+    + [f"dow_{x}" for x in calendar.WEEKDAYS if x != sorted(calendar.WEEKDAYS)[0]]
+)
+_LISTED = "(SELECT unnest([" + ", ".join(f"'{f}'" for f in _FEATURES) + "]) AS feature)"
+_TWO = ["num_violations_lag_7", "num_violations_lag_1"]
+
+# two features, so that least squares has a closed form
+_SUP2 = fx.DAILY + """,
+numbered AS (SELECT series_id, date, row_number() OVER o AS i, count(*) OVER (PARTITION BY series_id) AS n,
+  CAST(lag(num_violations, 7) OVER o AS DOUBLE) AS x1, CAST(lag(num_violations, 1) OVER o AS DOUBLE) AS x2, lead(num_violations, 1) OVER o AS t1,
+  lead(num_violations, 3) OVER o AS t3, lead(num_violations, 7) OVER o AS t7 FROM daily WINDOW o AS (PARTITION BY series_id ORDER BY date)),
+sup AS (SELECT series_id, date, x1, x2, CAST(h AS INTEGER) AS horizon, CAST(CASE h WHEN 1 THEN t1 WHEN 3 THEN t3 ELSE t7 END AS DOUBLE) AS t
+  FROM numbered, (SELECT unnest([1, 3, 7]) AS h) WHERE i > 30 AND i <= n - 7)"""
+
+
+def _two_sql(rows: str, by: str, where: str) -> str:
+    return f"""k AS (SELECT {by}, avg(t) AS mt, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS c12,
+  covar_pop(x1, t) AS c1, covar_pop(x2, t) AS c2 FROM {rows} WHERE {where} GROUP BY {by}),
+b AS (SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2 FROM k),
+c AS (SELECT {by}, b1, b2, mt - b1 * m1 - b2 * m2 AS a FROM b)"""
+
+
+@query(
+    "l5_batched_two_feature_fits",
+    f"""WITH {_SUP2}, {_two_sql("sup", "series_id, horizon", "date <= DATE '1999-12-31'")},
+e AS (SELECT series_id, horizon, t - (a + b1 * x1 + b2 * x2) AS e FROM sup JOIN c USING (series_id, horizon) WHERE date > DATE '2000-12-31')
+SELECT series_id, horizon, {s6("avg(abs(e))", "mae")}, {s6("sqrt(avg(e * e))", "rmse")}, count(*) AS n FROM e GROUP BY 1, 2""",
+)
+def batched_two(spark, d):
+    """A fit for every series and horizon, all solved together from one aggregate, on the test rows."""
+    rows, _ = _supervised(spark, d)
+    preds, _ = moments.train_linear(rows, _TWO, by=["series_id"])
+    x = evaluate.summarize(preds.where("split = 'test'"), ["series_id", "horizon"])
+    return x.select("series_id", "horizon", r6("mae", "mae"), r6("rmse", "rmse"), "n")
+
+
+@query(
+    "l5_batched_residuals_orthogonal",
+    f"""WITH {_SUP2} SELECT series_id, horizon, feature, count(*) AS n, TRUE AS orthogonal, TRUE AS unbiased
+FROM sup, {_LISTED} WHERE date <= DATE '1999-12-31' GROUP BY 1, 2, 3""",
+)
+def batched_orthogonal(spark, d):
+    """Fits of all features for every series and horizon: what is left of the target has nothing in common with any feature."""
+    rows, features = _supervised(spark, d)
+    train, targets = rows.where("split = 'train'"), [f"y_t_plus_{h}" for h in (1, 3, 7)]
+    fits = moments.fit_linear(train, features, targets, ["series_id"])
+    left = moments.predict_all(train, fits, features, targets, ["series_id"], features).withColumn("e", F.col("y_true") - F.col("y_pred"))
+    tol = 1e-6 * F.stddev_pop("y_true")
+    checks = F.array(*[F.struct(F.lit(f).alias("feature"), (F.abs(F.covar_pop(F.col(f).cast("double"), "e")) <= tol * F.stddev_pop(f)).alias("orthogonal")) for f in features])
+    horizon = F.get(F.array(F.lit(1), F.lit(3), F.lit(7)), F.col("target")).alias("horizon")
+    per = left.groupBy("series_id", horizon).agg(F.count(F.lit(1)).alias("n"), (F.abs(F.avg("e")) <= tol).alias("unbiased"), checks.alias("checks"))
+    return per.select("series_id", "horizon", "n", "unbiased", F.inline("checks"))
+
+
+@query(
+    "l10_backtest_two_features",
+    f"""WITH {_SUP2}, m AS (SELECT min(date) + 365 AS lo, max(date) - 90 AS hi FROM sup),
+f AS (SELECT CAST(k AS INTEGER) AS fold, CAST(lo + CAST((hi - lo) * k // 3 AS INTEGER) AS DATE) AS cutoff FROM m, (SELECT unnest([1, 2, 3]) AS k)),
+r AS (SELECT * FROM sup, f), {_two_sql("r", "fold, horizon", "date <= cutoff")},
+e AS (SELECT fold, horizon, t - (a + b1 * x1 + b2 * x2) AS e FROM r JOIN c USING (fold, horizon) WHERE date > cutoff)
+SELECT fold, horizon, {s6("avg(abs(e))", "mae")}, {s6("sqrt(avg(e * e))", "rmse")} FROM e GROUP BY 1, 2""",
+)
+def backtest_two(spark, d):
+    """All folds and horizons from the moments of the stretches between cutoffs."""
+    rows, _ = _supervised(spark, d)
+    return moments.backtest_linear(rows, _TWO).select("fold", "horizon", r6("mae", "mae"), r6("rmse", "rmse"))
+
+
+@query(
+    "l2_lasso_one_feature",
+    f"""WITH {_SUP}, rows_of AS (SELECT date, x, t FROM sup WHERE horizon = 1 AND date <= DATE '1999-12-31'),
+days AS (SELECT date, (row_number() OVER (ORDER BY date) - 1) * 5 // count(*) OVER () AS fold FROM (SELECT DISTINCT date FROM rows_of)),
+r AS (SELECT fold, x, t FROM rows_of JOIN days USING (date)),
+al AS (SELECT stddev_pop(x) AS s, covar_pop(x, t) / stddev_pop(x) AS r, avg(x) AS mx, avg(t) AS mt FROM r),
+grid AS (SELECT i, abs(r) * power(CAST(0.001 AS DOUBLE), i / CAST(99 AS DOUBLE)) AS penalty FROM al, range(100) g(i)),
+o AS (SELECT h.fold, avg(x) AS mx, avg(t) AS mt, var_pop(x) AS v, covar_pop(x, t) AS c FROM r, (SELECT DISTINCT fold FROM r) h WHERE r.fold <> h.fold GROUP BY h.fold),
+w AS (SELECT o.fold, i, penalty, o.mx, o.mt, sign(c) * greatest(abs(c / s) - penalty, 0) / (v / (s * s)) / s AS w FROM o, al, grid),
+errors AS (SELECT fold, i, penalty, avg(power(t - mt - w * (x - mx), 2)) AS mse FROM w JOIN r USING (fold) GROUP BY 1, 2, 3),
+best AS (SELECT penalty, avg(mse) AS mse FROM errors GROUP BY i, penalty ORDER BY 2, 1 DESC LIMIT 1)
+SELECT {s6("penalty", "penalty")}, {s6("mse", "mse")}, {s6("sign(r) * greatest(abs(r) - penalty, 0) / s", "weight")},
+  {s6("mt - sign(r) * greatest(abs(r) - penalty, 0) / s * mx", "intercept")} FROM best, al""",
+)
+def lasso_one(spark, d):
+    """Penalty, cross-validated error, weight and intercept of a lasso of one feature, which has a closed form."""
+    rows, _ = _supervised(spark, d)
+    train = models.contiguous_folds(rows.where("split = 'train'"), 5)
+    model, errors = moments.lasso_from_moments(train, _TWO[:1], "y_t_plus_1", "fold")
+    found = [F.lit(model.penalty), F.lit(min(e for _, e in errors)), F.lit(model.weights[0]), F.lit(model.intercept)]
+    return spark.range(1).select(*[r6(c, n) for c, n in zip(found, ("penalty", "mse", "weight", "intercept"))])
+
+
+@query("l2_lasso_optimal", f"SELECT feature, TRUE AS optimal FROM {_LISTED}")
+def lasso_optimal(spark, d):
+    """The chosen lasso of all features fulfils its optimality conditions, as the rows themselves show."""
+    rows, features = _supervised(spark, d)
+    return moments.optimality(rows.where("split = 'train'"), _lasso(rows, features), "y_t_plus_1").select("feature", "optimal")
+
+
+_ROLLED = moments.LinearModel(
+    ("num_violations_lag_1", "num_violations_lag_7", "num_violations_roll7_mean", "num_violations_roll30_std", "is_weekend"), 0.5, (0.25, 0.35, 0.2, 0.1, 1.0)
+)
+_RECENT = """recent AS (SELECT series_id, max(date) AS last, list(CAST(num_violations AS DOUBLE) ORDER BY date) AS l
+  FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) AS back FROM daily) WHERE back <= 30 GROUP BY series_id HAVING count(*) = 30)"""
+
+
+@query(
+    "l6_roll_forward_fixed_model",
+    f"""WITH RECURSIVE {fx.DAILY}, {_RECENT},
+ahead(series_id, date, step, l, y) AS (
+  SELECT series_id, last, 0, l, CAST(0 AS DOUBLE) FROM recent
+  UNION ALL
+  SELECT series_id, date, step, list_append(l[2:], y), y FROM (
+    SELECT series_id, CAST(date + 1 AS DATE) AS date, step + 1 AS step, l, greatest(CAST(0 AS DOUBLE), CAST(0.5 AS DOUBLE) + CAST(0.25 AS DOUBLE) * l[30] + CAST(0.35 AS DOUBLE) * l[24]
+      + CAST(0.2 AS DOUBLE) * list_avg(l[24:30]) + CAST(0.1 AS DOUBLE) * list_aggregate(l, 'stddev_samp') + CASE WHEN isodow(date + 1) >= 6 THEN 1 ELSE 0 END) AS y
+    FROM ahead WHERE step < 28))
+SELECT series_id, date, step, {s6("y", "y_pred")} FROM ahead WHERE step > 0""",
+)
+def rolled(spark, d):
+    """28 days by a given model; later days see the days forecast before them."""
+    known = lambda on: {"is_weekend": calendar.is_weekend(on).cast("int")}
+    x = forward.roll_forward(fx.daily(spark, d), _ROLLED, "num_violations", 28, (1, 7), ((7, "mean"), (30, "std")), known)
+    return x.select("series_id", "date", "step", r6("y_pred", "y_pred"))
+
+
+@query(
+    "l6_fit_and_roll_forward",
+    f"""WITH RECURSIVE {fx.DAILY}, {_RECENT},
+sup AS (SELECT 1 AS one, date, CAST(num_violations AS DOUBLE) AS t, CAST(lag(num_violations, 1) OVER o AS DOUBLE) AS x1, CAST(lag(num_violations, 7) OVER o AS DOUBLE) AS x2
+  FROM daily WINDOW o AS (PARTITION BY series_id ORDER BY date)),
+{_two_sql("sup", "one", "date <= DATE '1999-12-31' AND x2 IS NOT NULL")},
+ahead(series_id, date, step, l, y) AS (
+  SELECT series_id, last, 0, l, CAST(0 AS DOUBLE) FROM recent
+  UNION ALL
+  SELECT series_id, date, step, list_append(l[2:], y), y FROM (
+    SELECT series_id, CAST(date + 1 AS DATE) AS date, step + 1 AS step, l, greatest(CAST(0 AS DOUBLE), a + b1 * l[30] + b2 * l[24]) AS y FROM ahead, c WHERE step < 14))
+SELECT series_id, date, step, {s6("y", "y_pred")} FROM ahead WHERE step > 0""",
+)
+def fit_and_roll(spark, d):
+    """A least-squares model of yesterday and a week ago, fitted on the training years and rolled two weeks forward."""
+    t = fx.tickets(spark, d).withColumnRenamed("agency", "series_id")
+    ahead, _ = daily_plan.forecast_days(aggregate.daily_counts(t, "date", ["series_id"]), 14, (1, 7), (), until=fx.TRAIN_END)
+    return ahead.select("series_id", "date", "step", r6("y_pred", "y_pred"))
+
+
+_FRAME = moments.LinearModel(("day_of_week", "is_weekend", "month", "days_since_start", "lag_7", "ma_7"), 12.0, (0.5, -2.0, 0.25, 0.01, 0.6, 0.3))
+
+
+@query(
+    "l6_zero_filled_frame",
+    f"""WITH {fx.TICKETS}, ends AS (SELECT min(date) AS lo, max(date) AS hi FROM tickets),
+f AS (SELECT CAST(hi + CAST(k AS INTEGER) AS DATE) AS date, lo FROM ends, (SELECT unnest(range(1, 15)) AS k))
+SELECT 'city' AS series_id, date, {s6("12 + CAST(0.5 AS DOUBLE) * (isodow(date) - 1) - CASE WHEN isodow(date) >= 6 THEN 2 ELSE 0 END + CAST(0.25 AS DOUBLE) * month(date) + CAST(0.01 AS DOUBLE) * (date - lo)", "y_pred")}
+FROM f""",
+)
+def zero_filled(spark, d):
+    """The frame of future days, whose recency is unknown and counts as 0, through a given model."""
+    t = fx.tickets(spark, d).withColumn("issue_date", F.col("issue_ts").cast("string"))
+    matrix = materialize(ticket_plan.daily_matrix(t, "agency", "violation"), "matrix")
+    frame = ticket_plan.future_frame(matrix, ticket_plan.matrix_features(matrix), 14)
+    return forward.score_frame(frame, _FRAME).select("series_id", "date", r6("y_pred", "y_pred"))

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar, encode
-from ..operators import aggregate, densify, splits, windows
+from ..operators import aggregate, densify, forward, moments, splits, windows
+from ..operators.moments import LinearModel
+from ..session import materialize
 
 TARGET = "num_violations"
 HORIZONS = windows.HORIZONS
@@ -66,3 +68,34 @@ def supervised(features: DataFrame, train_end, val_end, horizons: Sequence[int]
     """Complete rows with their targets and split label."""
     df = windows.add_targets(features.drop("is_imputed"), TARGET, horizons)
     return splits.chrono_split(df.dropna(), train_end, val_end)
+
+
+def one_day_rows(daily: DataFrame, lags: Sequence[int] = windows.DAILY_LAGS, rolling: Sequence[tuple[int, str]] = windows.DAILY_ROLLING, known=None) -> DataFrame:
+    """Gap-free days, each with what was known the evening before: lags, rolling statistics up to the day before, and the date's own features."""
+    df = densify.densify(daily)
+    df = windows.add_lags(df, TARGET, list(lags)) if lags else df
+    df = windows.add_rolling(df, TARGET, list(rolling), offset=1) if rolling else df
+    return df.withColumns(known(F.col("date"))) if known else df
+
+
+def fit_one_day(rows: DataFrame, features: Sequence[str]) -> LinearModel:
+    """Least squares of a day's count on what was known before it; one row comes to the driver."""
+    fit = moments.fit_linear(rows, features, [TARGET]).first()
+    if fit is None:
+        raise ValueError("no complete rows to fit")
+    return LinearModel(tuple(features), fit.intercept, tuple(fit.weights))
+
+
+def forecast_days(
+    daily: DataFrame, days: int = 14, lags: Sequence[int] = windows.DAILY_LAGS, rolling: Sequence[tuple[int, str]] = windows.DAILY_ROLLING, known=None,
+    until=None,
+) -> tuple[DataFrame, LinearModel]:
+    """The ``days`` days after the last one of each series, each forecast from the ones before it, and the model.
+
+    One model is fitted over all series, on days up to ``until``. ``known`` maps a date column to numeric
+    features that a date alone decides.
+    """
+    rows = materialize(one_day_rows(daily, lags, rolling, known), "one-day-rows")
+    names = [f"{TARGET}_lag_{k}" for k in lags] + [f"{TARGET}_roll{n}_{s}" for n, s in rolling] + list(known(F.col("date")) if known else ())
+    model = fit_one_day(rows if until is None else rows.where(F.col("date") <= F.lit(until).cast("date")), names)
+    return forward.roll_forward(rows, model, TARGET, days, lags, rolling, known), model

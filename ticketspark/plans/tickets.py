@@ -65,6 +65,14 @@ def matrix_features(matrix: DataFrame) -> list[str]:
     return [c for c in matrix.columns if c in CALENDAR or c == "ma_7" or c.startswith(keep)]
 
 
+def future_frame(matrix: DataFrame, features: Sequence[str], days: int) -> DataFrame:
+    """Feature rows of the days after each series' last one: calendar columns are known, the rest counts as 0."""
+    starts = matrix.groupBy("series_id").agg(F.min("date").alias("_start"))
+    future = densify.future_dates(matrix, days).join(starts, "series_id")
+    known = {**calendar_features(), "days_since_start": F.date_diff("date", "_start")}
+    return densify.future_features(future, features, known, ["series_id", "date"])
+
+
 def fit_and_forecast(
     matrix: DataFrame, fits: dict[str, models.Fit], days: int = 14, horizons: Sequence[int] = windows.HORIZONS,
     calibrate: bool = True,
@@ -82,16 +90,17 @@ def fit_and_forecast(
     scales = evaluate.fit_scale(preds.where("split = 'val'"), keys)
     test = preds.where("split = 'test'")
     test = evaluate.apply_scale(test, scales, keys) if calibrate else test
-    starts = matrix.groupBy("series_id").agg(F.min("date").alias("_start"))
-    future = densify.future_dates(matrix, days).join(starts, "series_id")
-    known = {**calendar_features(), "days_since_start": F.date_diff("date", "_start")}
-    frame = densify.future_features(future, features, known, ["series_id", "date"])
+    frame = future_frame(matrix, features, days)
     ahead = models.forecast(fitted, frame, features)
     ahead = evaluate.apply_scale(ahead, scales, keys) if calibrate else ahead
     return test, evaluate.summarize(test, keys), ahead
 
 
-def allocate_forecast(ahead: DataFrame, events: DataFrame) -> DataFrame:
-    """Forecast totals per target date spread over the grid; ``events`` has date parts and cell ids."""
-    per_day = ahead.groupBy("date").agg(F.sum("y_pred").alias("y_pred"))
+def allocate_forecast(ahead: DataFrame, events: DataFrame, model: str, horizon: int) -> DataFrame:
+    """One model's and horizon's forecast per target date spread over the grid.
+
+    Several series of a date are added up. ``events`` has date parts and cell ids.
+    """
+    chosen = ahead.where((F.col("model") == model) & (F.col("horizon") == horizon))
+    per_day = chosen.groupBy("date").agg(F.sum("y_pred").alias("y_pred"))
     return spatial.allocate(per_day, spatial.spatial_weights(events))
