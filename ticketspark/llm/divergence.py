@@ -121,11 +121,11 @@ def block_distances(counts: np.ndarray, totals: list[int], vs: list[int], pairs:
     return out
 
 
-def _distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
+def _distances(kept: DataFrame, vocabulary: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, item, value for every two sources of a language.
 
     Blocks hold about ``BLOCK_ROWS`` counts. Where a language has more than ``TILE`` sources, a block
-    takes the sources of two tiles at a time.
+    takes the sources of two tiles at a time; terms that both tiles lack are one more cell, of two zeros.
     """
 
     def block(rows: pa.Table) -> pa.Table:
@@ -135,6 +135,7 @@ def _distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
         place = {name: i for i, name in enumerate(names)}
         pairs = [(i, j) for j in range(len(names)) for i in range(j) if low == high or tiles[i] != tiles[j]]
         sums = np.zeros((len(pairs), 2), dtype=object)
+        totals, vs, unseen = told["total"].to_pylist(), told["v"].to_pylist(), told["terms"][0].as_py() or 0
         counted = rows.filter(pc.is_valid(rows["term"]))
         if counted.num_rows and pairs:
             coded = counted["term"].combine_chunks().dictionary_encode()
@@ -143,12 +144,15 @@ def _distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
             n = counted["n"].to_numpy()
             order = np.argsort(term, kind="stable")
             term, source, n = term[order], source[order], n[order]
-            totals, vs, step = told["total"].to_pylist(), told["v"].to_pylist(), max(1, DENSE // len(names))
+            step = max(1, DENSE // len(names))
+            unseen -= len(coded.dictionary)
             for at in range(0, len(coded.dictionary), step):
                 first, last = np.searchsorted(term, [at, at + step])
                 dense = np.zeros((len(names), min(step, len(coded.dictionary) - at)), np.int64)
                 dense[source[first:last], term[first:last] - at] = n[first:last]
                 sums += np.array(block_distances(dense, totals, vs, pairs), dtype=object)
+        if unseen and pairs:
+            sums += unseen * np.array(block_distances(np.zeros((len(names), 1), np.int64), totals, vs, pairs), dtype=object)
         both = [(names[a], names[b], int(s[0])) for (a, b), s in zip(pairs, sums)] + [(names[b], names[a], int(s[1])) for (a, b), s in zip(pairs, sums)]
         columns = [pa.array([lang.as_py()] * len(both), pa.string())]
         columns += [pa.array([x[0] for x in both], pa.string()), pa.array([x[1] for x in both], pa.string()), pa.array([x[2] for x in both], pa.int64())]
@@ -158,13 +162,15 @@ def _distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
     sizes = sizes.select("lang", F.greatest(F.lit(1), F.ceil(F.col("rows") / BLOCK_ROWS)).cast("int").alias("blocks"), F.ceil(F.col("sources") / TILE).cast("int").alias("tiles"))
     none = F.lit(None)
     counted = attach(kept, sizes, ["lang"], "inner").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
-    counted = counted.select("lang", "source", "term", "n", none.cast("long").alias("total"), none.cast("long").alias("v"), "block", "tiles")
+    counted = counted.select("lang", "source", "term", "n", none.cast("long").alias("total"), none.cast("long").alias("v"), none.cast("long").alias("terms"), "block", "tiles")
     told = attach(groups, sizes, ["lang"], "inner").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    told = told.select("lang", "source", none.cast("string").alias("term"), none.cast("long").alias("n"), "total", "v", "block", "tiles")
+    per_block = attach(vocabulary, sizes, ["lang"], "inner").groupBy("lang", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block"))
+    told = told.join(per_block.agg(F.count(F.lit(1)).alias("terms")), ["lang", "block"], "left")
+    told = told.select("lang", "source", none.cast("string").alias("term"), none.cast("long").alias("n"), "total", "v", "terms", "block", "tiles")
     tile = F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int")
     rows = counted.union(told).withColumn("tile", tile)
     met = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least("tile", t).alias("low"), F.greatest("tile", t).alias("high")))
-    rows = rows.select("lang", "source", "term", "n", "total", "v", "block", "tile", F.inline(met))
+    rows = rows.select("lang", "source", "term", "n", "total", "v", "terms", "block", "tile", F.inline(met))
     each = rows.groupBy("lang", "block", "low", "high").applyInArrow(block, "lang string, source string, item string, value long")
     return each.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
@@ -211,7 +217,7 @@ def audit(
     whole = vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     groups = materialize(occurring.join(sums, group, "left").join(whole, "lang", "left").na.fill(0), "groups")
 
-    pairs = _distances(kept, groups)
+    pairs = _distances(kept, vocabulary, groups)
     order = Window.partitionBy(*group).orderBy(F.desc("value"), F.asc("item"))
     pairs = pairs.select(*group, F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
     terms = _telling_terms(kept, groups, ranks)
