@@ -246,3 +246,25 @@ def test_toxicity_learns_one_text_of_a_key(spark, monkeypatch):
     rows = _toxic_rows(5)[:4] + [(0, f"other text {i}", 1) for i in range(200)]
     _learned(spark, rows)
     assert held == [(2, 2)]
+
+
+def test_worker_keeps_helpers_of_one_operator():
+    from ticketspark.llm import worker
+
+    first = worker.held("one", "a", list)
+    assert worker.held("one", "a", list) is first and worker.held("one", "b", dict) == {}
+    worker.held("two", "a", dict)
+    assert worker.held("one", "a", list) is not first
+    worker.only("three")
+    assert not worker._HELD
+
+
+def test_vocabulary_is_bounded_by_bytes(monkeypatch):
+    own = packing.Vocabulary(packing.default_path())
+    text = " ".join(f"w{i}ord" for i in range(400))
+    wanted = own.encode(text)
+    monkeypatch.setattr(packing, "REMEMBERED", 250_000)
+    small = packing.Vocabulary(packing.default_path())
+    assert small.encode(text) == wanted and small.encode("x" * 5000 + " end") == own.encode("x" * 5000 + " end")
+    monkeypatch.setattr(packing, "REMEMBERED", 20_000)
+    assert small.encode(text) == wanted and small._bytes <= 250_000

@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import BROADCAST_ROWS
 from ..session import materialize
 from .registry import query, table
+from .worker import only
 
 COORDINATES, CHOICES = 128, 2
 #: Chance that no tree keeps a pair at the threshold together; trees that a caller must ask for if it takes more.
@@ -175,6 +176,7 @@ def _features(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """key, n_shingles, set_id (128 bits of the set, null for an empty one), tokens and sketch of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("neardup")
         words = _Words()
         for batch in batches:
             sizes, ids, tokens, sketches = [], [], [], []
@@ -196,6 +198,7 @@ def _first_paths(classes: DataFrame, trees: int) -> DataFrame:
     """(path, key) after the first descent, in all trees."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("neardup")
         roots = _mix(np.arange(1, trees + 1, dtype=np.uint64))
         for batch in batches:
             if batch.num_rows:
@@ -268,6 +271,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     """The pairs (a, b) whose whole sets reach the threshold."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("neardup")
         words, last, of_last = _Words(), None, None
         for batch in batches:
             kept = []

@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .registry import query, table, without
+from .worker import held
 
 LENGTH = 4096
 #: Rests that a group holds on average. Padding hardly falls beyond a few thousand.
 GROUP_ROWS = 8192
 END_ID = 2
-#: Pieces whose ids a worker remembers.
-REMEMBERED = 1_000_000
+#: Bytes of the pieces and ids that a worker remembers, and what each entry takes beside them.
+REMEMBERED, ENTRY = 32 << 20, 200
 _WORD = re.compile(r"[A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+").fullmatch
 
 
@@ -113,6 +114,7 @@ class Vocabulary(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self._bytes = 0
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -121,8 +123,6 @@ class Vocabulary(dict):
         self._letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         word = piece[:-1] if piece[-1:] in (".", ",") else piece
         if _WORD(word):
             if word is not piece:
@@ -134,24 +134,25 @@ class Vocabulary(dict):
                 found = array("I", [t.id for t in self._merge(spelled)]).tobytes()
         else:
             found = array("I", self._tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-        self[piece] = found
+        size = ENTRY + 2 * len(piece) + len(found)
+        if size <= REMEMBERED // 1024:  # long pieces seldom come again
+            if self._bytes + size > REMEMBERED:
+                self.clear()
+                self._bytes = 0
+            self[piece] = found
+            self._bytes += size
         return found
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-_READY: dict[str, Vocabulary] = {}
-
-
 def _vocabulary(path: str) -> Vocabulary:
     """A worker's vocabulary, kept from task to task."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _READY:
-        _READY[path] = Vocabulary(path)
-    return _READY[path]
+    return held("packing", path, lambda: Vocabulary(path))
 
 
 def tokenize(

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .licenses import normalised
 from .registry import query, table
+from .worker import held
 
 #: Bounds of the training sample: rows of each label.
 TOXIC_ROWS, ORDINARY_ROWS = 2000, 6000
@@ -348,15 +349,9 @@ def learn(labelled: DataFrame, docs: DataFrame, key: str = "doc_id", label: str
     return _fit(_Rows(rows), 0.5 if share is None else share)
 
 
-_READY: dict[Model, Costs] = {}
-
-
 def _costs(model: Model) -> Costs:
     """A worker's memory of costs, kept from task to task."""
-    if model not in _READY:
-        _READY.clear()
-        _READY[model] = Costs(model.toxic, model.ordinary)
-    return _READY[model]
+    return held("toxicity", model, lambda: Costs(model.toxic, model.ordinary))
 
 
 def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
