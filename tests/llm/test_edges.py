@@ -145,10 +145,10 @@ def test_hamming(spark):
     nan = float("nan")
     rows = [(0, [1.0, -1.0]), (20, None), (40, [1.0]), (60, [None, 0.0]), (1, [nan, 1.0]), (None, [1.0, 1.0]), (2, [1.0, -1.0]), (0, [1.0, -1.0])]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "id long, v array<double>, code string")
-    codes = hamming.sign_codes(frame, "id", "v", 2)
-    got = {(r.query, r.key, r.distance, r["rank"]) for r in hamming.nearest_codes(codes, F.col("key") % 20 == 0, 2, 2).collect()}
+    codes = hamming.sign_codes(frame, "id", "v")
+    got = {(r.query, r.key, r.distance, r["rank"]) for r in hamming.nearest_codes(codes, F.col("key") % 20 == 0, 2).collect()}
     assert got == {(0, 2, 0, 1), (0, 1, 2, 2), (60, 1, 0, 1), (60, 0, 2, 2)}
-    assert hamming.nearest_codes(codes.limit(0), F.lit(True), 2, 2).count() == 0
+    assert hamming.nearest_codes(codes.limit(0), F.lit(True), 2).count() == 0
 
 
 def test_stages(spark, docs, data):

@@ -192,10 +192,10 @@ def test_nearest_codes(spark, bits, monkeypatch):
     vectors = rng.normal(size=(300, bits))
     vectors[100:200] = vectors[7]
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
-    codes = hamming.sign_codes(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", bits)
+    codes = hamming.sign_codes(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v")
     from pyspark.sql import functions as F
 
-    got = hamming.nearest_codes(codes, F.col("key") % 20 == 0, bits, 5).collect()
+    got = hamming.nearest_codes(codes, F.col("key") % 20 == 0, 5).collect()
     signs = vectors >= 0
     wanted = set()
     for q in range(0, 300, 20):
@@ -204,6 +204,25 @@ def test_nearest_codes(spark, bits, monkeypatch):
     assert {tuple(r) for r in got} == wanted
 
 
+def test_nearest_codes_of_several_lengths(spark, monkeypatch):
+    """Every length is searched for itself: odd vectors neither hide the others nor answer for them."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(hamming, "BLOCK_CODES", 16)
+    rng = np.random.default_rng(4)
+    sizes = [64] * 60 + [65] + [17] * 30 + [0]
+    vectors = [rng.normal(size=n).tolist() for n in sizes]
+    frame = spark.createDataFrame([*enumerate(vectors), (200, None)], "id long, v array<double>").coalesce(1)
+    got = hamming.nearest_codes(hamming.sign_codes(frame, "id", "v"), F.col("key") % 20 == 0, 3).collect()
+    wanted = set()
+    for q in range(0, len(sizes), 20):
+        away = lambda i: sum((a >= 0) != (b >= 0) for a, b in zip(vectors[q], vectors[i], strict=True))  # noqa: E731, B023
+        near = sorted((away(i), i) for i in range(len(sizes)) if i != q and sizes[i] == sizes[q])[:3]
+        wanted |= {(q, i, d, r + 1) for r, (d, i) in enumerate(near)}
+    assert {tuple(r) for r in got} == wanted
+    assert {r.query for r in got} == {0, 20, 40, 80}  # 60 is alone in its length
+
+
 def test_toxicity_without_both_labels():
     model = toxicity.fit([b"only"], [], 0.5)
     assert 0 <= model.score(None, b"any text") <= 1
