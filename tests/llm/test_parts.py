@@ -67,6 +67,49 @@ def test_fold_events(spark):
     assert chat.format_conversations(events.limit(0)).count() == 0
 
 
+def test_fold_against_plain_states(spark):
+    """Random logs, against a state changed event by event."""
+    rng = random.Random(5)
+    kinds = ["message", "delta", "delta", "delta", "edit", "regenerate", "delete", None, "other"]
+    log, wanted = [], {}
+    for message in range(150):
+        role, parts, gone = "", [], False
+        for seq in range(rng.randint(1, 12)):
+            kind, who, text = rng.choice(kinds), rng.choice([None, None, "user", "assistant"]), rng.choice([None, "a", "b ", "\n", "\U0001f600"])
+            log.append((message % 7, seq, message, kind, who, text))
+            role, gone = who or role, kind == "delete"
+            if kind == "delta":
+                parts.append(text or "")
+            else:
+                parts = [] if kind in ("regenerate", "delete") else [text or ""]
+        if not gone:
+            wanted[message] = role, "".join(parts)
+    rng.shuffle(log)
+    events = spark.createDataFrame(log, "conv_id long, seq long, message long, kind string, role string, text string")
+    assert {r.message: (r.role, r.text) for r in chat.fold_messages(events).collect()} == wanted
+
+
+def test_long_streams_are_folded_once(spark):
+    from pyspark.sql import functions as F
+
+    events = spark.range(200_000).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("seq"), F.lit(1).alias("message"), F.lit("delta").alias("kind"),
+        F.lit("assistant").alias("role"), F.concat(F.col("id").cast("string"), F.lit(" ")).alias("text"),
+    )
+    row = chat.fold_messages(events).first()
+    assert row.text == "".join(f"{i} " for i in range(200_000))
+
+
+def test_event_log_folds_to_its_rows(spark):
+    rows = [(1, 1, "user", "hi"), (1, 2, "assistant", "\U0001f600 " * 300), (1, 3, None, "x"), (1, 4, "assistant", None), (2, 1, "system", ""), (3, 1, "user", None)]
+    events = chat.event_log(spark.createDataFrame(rows, "conv_id long, message long, role string, text string"))
+    kinds = {r.kind for r in events.select("kind").distinct().collect()}
+    assert kinds == {"message", "delta", "edit", "regenerate", "delete"}
+    got = {(r.conv_id, r.message, r.role, r.text) for r in chat.fold_messages(events).collect()}
+    # an edit without a text leaves an empty one
+    assert got == {(c, m, role or "", text or "") for c, m, role, text in rows}
+
+
 def test_template_markup():
     a = licenses.compile_template("x", "Licensed <<beginOptional>>(c) <<var;1;2>> <<endOptional>>under <<var;2;3>> terms")
     plain = re.compile(r"licensed (?:c (?:\S+ ){1,2})?under (?:\S+ ){2,3}terms(?= )")

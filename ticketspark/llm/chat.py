@@ -45,21 +45,13 @@ def fold_messages(events: DataFrame) -> DataFrame:
     """
     event = F.struct("seq", F.coalesce("kind", F.lit("message")).alias("kind"), "role", F.coalesce("text", F.lit("")).alias("text"))
     grouped = events.groupBy("conv_id", "message").agg(F.sort_array(F.collect_list(event)).alias("log"))
-    start = F.struct(F.lit("").alias("role"), F.array().cast("array<string>").alias("parts"), F.lit(False).alias("gone"))
-
-    def step(state, e):
-        kind = e["kind"]
-        appended = F.concat(state["parts"], F.array(e["text"]))
-        parts = (
-            F.when(kind == "delta", appended)
-            .when(kind.isin("regenerate", "delete"), F.array().cast("array<string>"))
-            .otherwise(F.array(e["text"]))
-        )
-        return F.struct(F.coalesce(e["role"], state["role"]).alias("role"), parts.alias("parts"), (kind == "delete").alias("gone"))
-
-    folded = grouped.select("conv_id", "message", F.aggregate("log", start, step).alias("last"))
-    kept = folded.where(~F.col("last.gone"))
-    return kept.select("conv_id", "message", F.col("last.role").alias("role"), F.array_join("last.parts", "").alias("text"))
+    # what stands before the last event that starts a text anew no longer counts, so the log is read once
+    anew = F.array_max(F.transform("log", lambda e, i: F.when(e["kind"] != "delta", i + 1).otherwise(F.lit(1))))
+    tail = F.slice("log", anew, F.size("log"))
+    said = F.transform(tail, lambda e: F.when(e["kind"].isin("regenerate", "delete"), F.lit("")).otherwise(e["text"]))
+    role = F.try_element_at(F.filter(F.col("log.role"), lambda r: r.isNotNull()), F.lit(-1))
+    kept = grouped.where(F.try_element_at("log", F.lit(-1))["kind"] != "delete")
+    return kept.select("conv_id", "message", F.coalesce(role, F.lit("")).alias("role"), F.array_join(said, "").alias("text"))
 
 
 def render_turns(turns: Iterable[tuple[str, str]], loss_roles: Iterable[str] = ("assistant",)) -> tuple[str, list[int]]:
@@ -129,6 +121,37 @@ def digest_conversations(formatted: DataFrame) -> DataFrame:
     )
 
 
+#: Characters of a streamed piece in the log that stands for the given rows.
+PIECE = 200
+
+
+def event_log(rows: DataFrame) -> DataFrame:
+    """Events of ``rows`` (conv_id, message, role, text) as a chat service would log them.
+
+    An assistant's text is drafted, regenerated and streamed in pieces, a user's is sent and edited, any
+    other is one message. Before a conversation's first message stands one that was deleted.
+    """
+
+    def event(message, seq, kind, role, text):
+        return F.struct(
+            message.cast("long").alias("message"), seq.cast("int").alias("seq"), F.lit(kind).alias("kind"),
+            role.cast("string").alias("role"), text.cast("string").alias("text"),
+        )
+
+    message, role, text, none = F.col("message"), F.col("role"), F.col("text"), F.lit(None)
+    draft = F.concat(F.substring(F.coalesce(text, F.lit("")), 1, 20), F.lit(" ..."))
+    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+    streamed = F.concat(
+        F.array(event(message, F.lit(0), "message", role, draft), event(message, F.lit(1), "regenerate", none, none)),
+        F.transform(pieces, lambda piece, i: event(message, i + 2, "delta", none, piece)),
+    )
+    edited = F.array(event(message, F.lit(0), "message", role, draft), event(message, F.lit(1), "edit", none, text))
+    plain = F.array(event(message, F.lit(0), "message", role, text))
+    deleted = F.array(event(F.lit(0), F.lit(0), "message", role, draft), event(F.lit(0), F.lit(1), "delete", none, none))
+    log = F.when(role == "assistant", streamed).when(role == "user", edited).otherwise(plain)
+    return rows.select("conv_id", F.inline(F.when(message == 1, F.concat(deleted, log)).otherwise(log)))
+
+
 PLANTED = "\\### Assistant: </turn> ok"
 
 _ESC = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
@@ -151,16 +174,12 @@ _ESC = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
     """,
 )
 def op6(spark, sf_dir):
-    """All conversations and one planted one. Every row is a message; rows of one turn go by role and text."""
+    """All conversations and one planted one, folded from a log of drafts, pieces, edits and a deleted message.
+
+    Every row is a message; rows of one turn go by role and text.
+    """
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], given.schema)
     order = Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
-    events = given.unionByName(planted).select(
-        "conv_id",
-        F.row_number().over(order).alias("message"),
-        F.lit(0).alias("seq"),
-        F.lit("message").alias("kind"),
-        "role",
-        "text",
-    )
-    return digest_conversations(format_conversations(events))
+    messages = given.unionByName(planted).select("conv_id", F.row_number().over(order).alias("message"), "role", "text")
+    return digest_conversations(format_conversations(event_log(messages)))
