@@ -56,6 +56,26 @@ def test_trees_beat_the_mean_and_rank_features(spark, linear_rows):
     assert [r["feature"] for r in ranked] == ["a", "b", "flat"]
 
 
+def test_dealings_are_bijections():
+    for n in (1, 2, 6, 30, 97, 210):
+        for step, shift in models.dealings(n, 12):
+            assert sorted((step * i + shift) % n for i in range(n)) == list(range(n))
+    step, _ = models.dealings(1 << 40, 1)[0]
+    assert step << 40 < 1 << 63
+
+
+def test_values_are_dealt_anew(spark):
+    rows = [(i, float(i), 10.0 * i, -float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, f"id long, {models.LABEL} double, a double, b double")
+    got = models.dealt_anew(df, ["a", "b"], ["id"], 3).collect()
+    for repeat in (1, 2, 3):
+        for j in (0, 1):
+            part = [r for r in got if r["repeat"] == repeat and r["j"] == j]
+            assert sorted(r["x"][j] for r in part) == sorted(r[2 + j] for r in rows)
+            assert all(r["x"][1 - j] == (10.0, -1.0)[1 - j] * r[models.LABEL] for r in part)
+    assert models.dealt_anew(df.limit(0), ["a", "b"], ["id"], 3).count() == 0
+
+
 def test_permutation_importance(spark, linear_rows):
     df = models.ready(linear_rows, FEATURES, "y_t_plus_1")
     model = models.linear(df, FEATURES)

@@ -197,6 +197,31 @@ def permutation(spark, d):
     return models.permutation_importance(model, ready.where("split = 'test'"), features, KEYS)
 
 
+@query(
+    "m19_importance_of_fixed_weights",
+    f"""WITH {fx.PREDS},
+rows_ AS (SELECT y_true AS label, [CAST(y_pred AS DOUBLE), CAST(horizon AS DOUBLE), CAST(day(date) AS DOUBLE)] AS x,
+  row_number() OVER (ORDER BY {fx.key_hash_sql("split", "model", "horizon", "series_id", "date", seed=42)}, split, model, horizon, series_id, date) - 1 AS i
+  FROM preds WHERE y_true IS NOT NULL AND y_pred IS NOT NULL),
+starts AS (SELECT r, n, 1 + (r * 2654435761 + 42 * 40503) % n AS s, (r * 40692 + 42) * 48271 % n AS shift
+  FROM (SELECT count(*) AS n FROM rows_), (SELECT CAST(unnest(generate_series(1, 10)) AS BIGINT) AS r)),
+ways AS (SELECT r, n, shift, min(c) AS step FROM (SELECT r, n, shift, unnest(generate_series(s, s + 64)) AS c FROM starts) WHERE gcd(c, n) = 1 GROUP BY ALL),
+pairs AS (SELECT r, a.label, a.x, b.x AS donor FROM rows_ b CROSS JOIN ways w JOIN rows_ a ON a.i = (w.step * b.i + w.shift) % w.n),
+scored AS (SELECT r, j, label - (0.9 * CASE WHEN j = 1 THEN donor[1] ELSE x[1] END + 0.1 * CASE WHEN j = 2 THEN donor[2] ELSE x[2] END
+  + 0.02 * CASE WHEN j = 3 THEN donor[3] ELSE x[3] END) AS e FROM pairs, (SELECT unnest([1, 2, 3]) AS j)),
+whole AS (SELECT sum(power(label - (0.9 * x[1] + 0.1 * x[2] + 0.02 * x[3]), 2)) AS sse, var_pop(label) * count(*) AS sst FROM rows_),
+per AS (SELECT j, r, (sum(e * e) - any_value(whole.sse)) / any_value(whole.sst) AS loss FROM scored, whole GROUP BY j, r)
+SELECT ['y_pred', 'horizon', 'day'][j] AS feature, {s6("avg(loss)", "importance")}, {s6("stddev_pop(loss)", "spread")} FROM per GROUP BY j""",
+)
+def permutation_fixed(spark, d):
+    """Importance of three inputs of a line with given weights, over all predictions."""
+    keys = ["split", "model", "horizon", "series_id", "date"]
+    preds = fx.predictions(spark, d).where(F.col("y_true").isNotNull() & F.col("y_pred").isNotNull())
+    rows = preds.select(*keys, F.col("y_true").cast("double").alias(models.LABEL), "y_pred", F.dayofmonth("date").alias("day"))
+    x = models.permutation_importance(lambda v: v[0] * 0.9 + v[1] * 0.1 + v[2] * 0.02, rows, ["y_pred", "horizon", "day"], keys)
+    return x.select("feature", r6("importance", "importance"), r6("spread", "spread"))
+
+
 @query(
     "c8_daily_matrix",
     f"""WITH {fx.TICKETS}, m AS (SELECT date, count(*) AS tickets, count(*) FILTER (WHERE violation = 'F') AS viol_F,

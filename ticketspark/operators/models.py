@@ -6,6 +6,7 @@ coefficients, never rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar, encode, metrics
+from ..session import materialize
 from . import splits, windows
 from .ordering import hash_ranked
 from .reshape import union_by_name
@@ -249,23 +251,58 @@ def learning_curve(
     return union_by_name(*parts)
 
 
+def dealings(n: int, repeats: int, seed: int = 42) -> list[tuple[int, int]]:
+    """(step, shift) of each repeat: i -> (step * i + shift) mod n is a bijection of 0..n-1.
+
+    The step is the first number from its start on that has no factor in common with n, small enough
+    that the product stays a 64-bit number.
+    """
+    out = []
+    for r in range(1, repeats + 1):
+        step = 1 + (r * 2654435761 + seed * 40503) % min(n, (1 << 62) // n)
+        while math.gcd(step, n) != 1:
+            step += 1
+        out.append((step, (r * 40692 + seed) * 48271 % n))
+    return out
+
+
+def dealt_anew(df: DataFrame, features: Sequence[str], key: Sequence[str], repeats: int = 10, seed: int = 42) -> DataFrame:
+    """repeat, j, label, x: every row once for each repeat and feature j, with that feature's value of another row.
+
+    Rows are numbered once, in a hash order of ``key``, and a repeat sends each row's values to another
+    number by a bijection, so nothing is sorted for a repeat. Runs the job that numbers the rows. An
+    empty table stays empty.
+    """
+    x = df.select(*key, LABEL, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    at = materialize(hash_ranked(x, key, (), seed, rank="_i").select((F.col("_i") - 1).alias("_i"), LABEL, "x"), "numbered-rows")
+    n = max(at.count(), 1)
+    ways = F.array(*[
+        F.struct(F.lit(r).alias("repeat"), F.lit(step).cast("long").alias("_step"), F.lit(shift).cast("long").alias("_shift"))
+        for r, (step, shift) in enumerate(dealings(n, repeats, seed), 1)
+    ])
+    sent = at.select(F.col("_i").alias("_from"), F.col("x").alias("donor"), F.inline(ways))
+    sent = sent.select("repeat", "donor", F.pmod(F.col("_step") * F.col("_from") + F.col("_shift"), F.lit(n).cast("long")).alias("_i"))
+    pairs = sent.join(at, "_i").select("repeat", LABEL, "x", F.posexplode("donor").alias("j", "v"))
+    swapped = F.transform("x", lambda e, k: F.when(k == F.col("j"), F.col("v")).otherwise(e))
+    return pairs.select("repeat", "j", LABEL, swapped.alias("x"))
+
+
 def permutation_importance(
-    model: PipelineModel, df: DataFrame, features: Sequence[str], key: Sequence[str], repeats: int = 10, seed: int = 42
+    model: PipelineModel | Callable[[Column], Column], df: DataFrame, features: Sequence[str], key: Sequence[str], repeats: int = 10, seed: int = 42
 ) -> DataFrame:
     """Loss of R2 when one feature's values are dealt out anew among the rows.
 
-    Each repeat pairs every row with a random other row by its position in a hash order. All features
-    and repeats are scored in one job. ``df`` is a ``ready`` table; ``model`` starts with an assembler.
+    All features and repeats are scored in one job. ``df`` is a ``ready`` table. ``model`` is a fitted
+    pipeline that starts with an assembler, or a function from the array of features to the prediction.
     """
-    x = df.select(*key, LABEL, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
-    many = x.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    at = hash_ranked(many, ["repeat", *key], ["repeat"], seed, rank="_i")
-    donors = hash_ranked(many, ["repeat", *key], ["repeat"], seed + 1, rank="_i").select("repeat", "_i", F.col("x").alias("donor"))
-    pairs = at.join(donors, ["repeat", "_i"]).select("repeat", LABEL, "x", F.posexplode("donor").alias("j", "v"))
-    swapped = F.transform("x", lambda e, k: F.when(k == F.col("j"), F.col("v")).otherwise(e))
-    rows = pairs.select("repeat", LABEL, "j", array_to_vector(swapped).alias("_x"))
-    scored = _score_vectors(model, rows, "_x")
-    base = _score_vectors(model, x.select(LABEL, array_to_vector("x").alias("_x")), "_x")
+    x = df.select(LABEL, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+
+    def predicted(rows: DataFrame) -> DataFrame:
+        if isinstance(model, PipelineModel):
+            return _score_vectors(model, rows.withColumn("x", array_to_vector("x")), "x")
+        return rows.withColumn("prediction", model(F.col("x")))
+
+    scored, base = predicted(dealt_anew(df, features, key, repeats, seed)), predicted(x)
     e = F.col(LABEL) - F.col("prediction")
     whole = base.agg(F.struct(F.sum(e * e).alias("sse"), (F.var_pop(LABEL) * F.count(LABEL)).alias("sst"))).scalar()
     per = scored.groupBy("j", "repeat").agg(F.sum(e * e).alias("sse"))
