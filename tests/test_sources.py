@@ -75,3 +75,16 @@ def test_scratch_follows_the_session_setting(spark):
     assert session.scratch_path(_Session(), "x").split("/ticketspark/")[0] == session._local_scratch()
     out = session.materialize(series(spark, [1, 2]), "kept")
     assert column(out, "y", "date") == [1.0, 2.0]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import types
+
+    def given(**conf):
+        return types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, default=None: conf.get(k.replace(".", "_"), default)))
+
+    for master in ("spark://host:7077", "local-cluster[2,1,512]", "yarn"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            session.scratch_path(given(spark_master=master), "x")
+    assert session.scratch_path(given(spark_master="yarn", spark_checkpoint_dir="/shared/"), "x").startswith("/shared/ticketspark/x-")
+    assert session.scratch_path(given(spark_master="local[8]"), "x")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -34,9 +35,14 @@ def _local_scratch() -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared directory the cluster names.
 
-    Only a session without ``spark.checkpoint.dir`` (a test on one machine) gets a temporary folder.
+    Only a session on one machine may do without ``spark.checkpoint.dir``; it gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master or 'the cluster'} share")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/ticketspark/{name}-{uuid.uuid4().hex}"
 
 
