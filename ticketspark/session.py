@@ -39,9 +39,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.conf.get("spark.master", "")
+        master = spark.conf.get("spark.master", "local")
         if not re.fullmatch(r"local(\[.*\])?", master):
-            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master or 'the cluster'} share")
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/ticketspark/{name}-{uuid.uuid4().hex}"
 
