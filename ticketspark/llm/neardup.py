@@ -42,6 +42,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -267,23 +268,41 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(seen)
 
 
+def _squeezed(texts: DataFrame) -> DataFrame:
+    """(key, text) with each text compressed for its way."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            small = pa.array([pack.compress(v.as_buffer()) for v in batch.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), small], names=["key", "text"])
+
+    return texts.mapInArrow(rows, "key long, text binary")
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
+    """The pairs (a, b) whose whole sets reach the threshold.
+
+    ``texts`` are compressed. Only those that a pair names move, once for each side.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("neardup")
-        words, last, of_last = _Words(), None, None
+        words, last, of_last, unpack = _Words(), None, None, zstandard.ZstdDecompressor()
         for batch in batches:
             kept = []
             for i, (b, ta, tb) in enumerate(zip(*(batch.column(c) for c in (1, 2, 3)), strict=True)):
                 if b.as_py() != last:  # rows of one b stand together
-                    last, of_last = b.as_py(), shingles(tb.as_buffer().to_pybytes(), width, words)
-                mine = shingles(ta.as_buffer().to_pybytes(), width, words)
+                    last, of_last = b.as_py(), shingles(unpack.decompress(tb.as_buffer()), width, words)
+                mine = shingles(unpack.decompress(ta.as_buffer()), width, words)
                 same = len(np.intersect1d(mine, of_last, assume_unique=True))
                 if 100 * same >= percent * (len(mine) + len(of_last) - same):
                     kept.append(i)
             yield batch.select([0, 1]).take(pa.array(kept, pa.int32()))
 
+    pairs = _written(pairs, "unconfirmed")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    texts = materialize(having(texts, wanted, "key", "left_semi"), "pair-texts")
     left = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
@@ -386,8 +405,9 @@ def near_duplicates(
     trees = trees_for(percent) if trees is None else trees
     features = materialize(_features(docs, key, text, width), "shingles")
     whole = features.where(F.col("key").isNotNull() & F.col("set_id").isNotNull())
-    odd = whole.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high")
-    if not odd.isEmpty():  # a key must name one set
+    per_key = whole.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.count(F.lit(1)).alias("rows"))
+    odd, most = per_key.agg(F.count_if(F.col("low") != F.col("high")), F.max("rows")).first()
+    if odd:  # a key must name one set
         one = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias(key)).agg(F.min(text).alias(text))
         found = near_duplicates(one, width, percent, key, text, trees)
         rows = docs.select(F.col(key).cast("long").alias(key)).join(found, key, "left")
@@ -407,7 +427,9 @@ def near_duplicates(
     def texts_of(rows: DataFrame) -> DataFrame:
         wanted = rows.select("key").distinct().join(sets.select(F.col("class").alias("key")).distinct(), "key")
         given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text")).where("key is not null and text is not null")
-        return materialize(having(given, wanted, "key", "left_semi").dropDuplicates(["key"]), "texts")
+        found = _squeezed(having(given, wanted, "key", "left_semi"))
+        # rows that repeat a key have the same set, so any text of them will do
+        return materialize(found.dropDuplicates(["key"]) if most > 1 else found, "texts")
 
     def add(pairs: DataFrame) -> bool:
         """Confirm pairs and merge their components."""
