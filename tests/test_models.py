@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import days, rows, series
 from ticketspark.functions import metrics
-from ticketspark.operators import models
+from ticketspark.operators import levels, models
 from ticketspark.plans import cells, daily, tickets
 
 
@@ -137,6 +138,38 @@ def test_cell_flow_learns_the_busy_hour_and_answers_points(spark):
     assert got[4]["reject"].startswith("hour") and got[4]["score"] is None and got[5]["reject"] == "no coordinates"
 
 
+def test_weights_score_points_as_the_fitted_model_does(spark):
+    fitted = cells.fit(cells.cell_events(_violations(spark)))
+    relation = levels.relation_of(fitted["model"], fitted["cells"], models.GEO_CODES, models.GEO_CONTINUOUS)
+    points = spark.createDataFrame(
+        [(i, 38.9 + i % 5 / 1000, -77.0 + i % 3 / 1000, i % 24, i % 7, 1 + i % 4) for i in range(40)],
+        "id int, latitude double, longitude double, hour int, day_of_week int, month int",
+    )
+    by = [models.predict_points(points, m, fitted["cells"], fitted["ranges"], 1).select("id", "score").collect() for m in (fitted["model"], relation)]
+    want, got = ({r.id: r.score for r in x} for x in by)
+    assert got == pytest.approx(want, abs=1e-9) and len(got) == 40
+
+
+def test_level_weights_by_hand(spark):
+    samples = spark.createDataFrame([(1, 0, 1), (1, 0, 0), (1, 1, 1), (2, 1, 0), (None, 1, 0), (2, 0, None)], "a int, b int, label int")
+    counts = levels.level_counts(samples, ["a", "b"])
+    got = {(r.feature, r.level): (r.trials, r.hits) for r in counts.collect()}
+    assert got == {("intercept", None): (5, 2), ("a", 1): (3, 2), ("a", 2): (1, 0), ("b", 0): (2, 1), ("b", 1): (3, 1)}
+    w = {(r.feature, r.level): r.weight for r in levels.level_weights(counts).collect()}
+    p = 2.5 / 6
+    base = math.log(p / (1 - p))
+    assert w["intercept", None] == pytest.approx(base)
+    assert w["a", 2] == pytest.approx(math.log(p / (2 - p)) - base)
+    # a level that is not listed and a null one weigh nothing; clashing helper names do not matter
+    rows_ = spark.createDataFrame([(1, 7, "x"), (None, 1, "y"), (1, 0, "z")], "a int, b int, name string")
+    scored = {r.name: r.score for r in levels.score_by_weights(rows_, levels.level_weights(counts), ["a", "b"]).collect()}
+    odds = lambda x: 1 / (1 + math.exp(-x))
+    assert scored["x"] == pytest.approx(odds(base + w["a", 1])) and scored["y"] == pytest.approx(odds(base + w["b", 1]))
+    assert levels.score_by_weights(rows_.limit(0), levels.level_weights(counts), ["a"]).count() == 0
+    nothing = levels.level_weights(levels.level_counts(samples.limit(0), ["a", "b"]))
+    assert [r.score for r in levels.score_by_weights(rows_, nothing, ["a"]).select("score").collect()] == [0.5] * 3
+
+
 def test_ticket_flow_forecasts_and_allocates(spark):
     raw = _violations(spark)
     matrix = tickets.daily_matrix(raw, "agency", "violation")

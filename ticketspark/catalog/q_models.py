@@ -177,6 +177,83 @@ def points(spark, d):
     return x.select("event_id", "hour", "day_of_week", "month", "grid_id", "score", "reject")
 
 
+def _weights_sql(fit: str) -> str:
+    """Weights of levels in SQL; ``fit`` says which events are learned from."""
+    levels = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS BIGINT) AS level, count(*) AS trials, sum(label) AS hits FROM coded GROUP BY 2"
+        for c in models.GEO_CODES
+    )
+    return fx.CELLS + f""",
+fit_events AS (SELECT * FROM cell_events WHERE {fit}),
+hits AS (SELECT date, lat_id, lon_id, hour, count(*) AS n FROM fit_events GROUP BY 1, 2, 3, 4),
+hours AS (SELECT v.date, v.lat_id, v.lon_id, r.h AS hour FROM (SELECT DISTINCT date, lat_id, lon_id FROM hits) v, range(24) r(h)),
+cells AS (SELECT lat_id, lon_id, row_number() OVER (ORDER BY lat_id, lon_id) - 1 AS grid_id FROM (SELECT DISTINCT lat_id, lon_id FROM fit_events)),
+coded AS (SELECT o.hour, isodow(o.date) - 1 AS day_of_week, month(o.date) AS month, month(o.date) - 1 AS month_code, grid_id, CAST(n IS NOT NULL AS INTEGER) AS label
+  FROM hours o JOIN cells c ON o.lat_id = c.lat_id AND o.lon_id = c.lon_id
+  LEFT JOIN hits h ON o.date = h.date AND o.lat_id = h.lat_id AND o.lon_id = h.lon_id AND o.hour = h.hour),
+whole AS (SELECT t, h, (h + 0.5::DOUBLE) / (t + 1.0::DOUBLE) AS p FROM (SELECT count(*) AS t, sum(label) AS h FROM coded)),
+weights AS (
+  SELECT 'intercept' AS feature, NULL::BIGINT AS level, ln(p / (1 - p)) AS weight, t AS trials, h AS hits FROM whole
+  UNION ALL SELECT feature, level, ln((hits + p) / (trials - hits + 1 - p)) - ln(p / (1 - p)), trials, hits FROM ({levels}), whole)"""
+
+
+@query(
+    "l8_level_weights",
+    f"WITH {_weights_sql('true')} SELECT feature, level, {s6('weight', 'weight')}, trials, CAST(hits AS BIGINT) AS hits FROM weights",
+)
+def level_weights(spark, d):
+    """Log odds of every hour, weekday, month and cell, from all hours of the cells visited each day."""
+    found = cell_plan.fit_weights(fx.cell_events(spark, d))["weights"]
+    return found.select("feature", "level", r6("weight", "weight"), "trials", "hits")
+
+
+_LEARNED = "event_type = 'purchase' AND date <= DATE '2024-01-03'"
+
+
+@query(
+    "l9_point_lookup_by_weights",
+    f"""WITH {_weights_sql(_LEARNED)},
+usual AS (SELECT month FROM coded GROUP BY 1 ORDER BY count(*) DESC, month LIMIT 1),
+points AS (SELECT event_id, lat_id, lon_id, event_id % 50 = 1 AS nowhere,
+    CASE WHEN event_id % 50 = 0 THEN 99 ELSE hour END AS hour, day_of_week,
+    CAST(CASE WHEN event_id % 50 = 2 THEN 13 WHEN event_id % 2 = 0 THEN cell_events.month ELSE usual.month END AS INTEGER) AS month
+  FROM cell_events, usual),
+judged AS (SELECT *, CASE WHEN nowhere THEN 'no coordinates' WHEN hour > 23 THEN 'hour must be in 0..23'
+    WHEN month > 12 THEN 'month must be in 1..12' END AS reject FROM points),
+places AS (SELECT DISTINCT lat_id, lon_id FROM judged WHERE reject IS NULL),
+near AS (SELECT p.lat_id, p.lon_id, arg_min(c.grid_id, power(p.lat_id - c.lat_id, 2) + power(p.lon_id - c.lon_id, 2) + c.grid_id * 1e-9) AS grid_id
+  FROM places p, cells c GROUP BY 1, 2),
+w AS (SELECT feature, level, weight FROM weights WHERE level IS NOT NULL)
+SELECT event_id, CAST(j.hour AS INTEGER) AS hour, day_of_week, j.month, n.grid_id, reject,
+  round(CASE WHEN reject IS NULL THEN 1 / (1 + exp(-((SELECT weight FROM weights WHERE level IS NULL) + coalesce(a.weight, 0) + coalesce(b.weight, 0)
+    + coalesce(c.weight, 0) + coalesce(g.weight, 0)))) END, 6) + 0.0 AS score
+FROM judged j
+LEFT JOIN near n ON reject IS NULL AND j.lat_id = n.lat_id AND j.lon_id = n.lon_id
+LEFT JOIN w a ON a.feature = 'hour' AND a.level = j.hour
+LEFT JOIN w b ON b.feature = 'day_of_week' AND b.level = day_of_week
+LEFT JOIN w c ON c.feature = 'month_code' AND c.level = j.month - 1
+LEFT JOIN w g ON g.feature = 'grid_id' AND g.level = n.grid_id""",
+)
+def points_by_weights(spark, d):
+    """Each event as a point to look up, by weights learned from the first days' purchases; cells not seen there take the nearest.
+
+    Some points have no valid hour, no latitude or no valid month; of the others, every second has no month.
+    """
+    e = fx.cell_events(spark, d)
+    fitted = cell_plan.fit_weights(e.where(_LEARNED))
+    rest = F.col("event_id") % 50
+    p = e.select(
+        "event_id",
+        F.when(rest != 1, F.col("latitude") + 0.0004).alias("latitude"),
+        "longitude",
+        F.when(rest == 0, 99).otherwise(F.col("hour")).alias("hour"),
+        "day_of_week",
+        F.when(rest == 2, 13).when(F.col("event_id") % 2 == 0, F.col("month")).alias("month"),
+    )
+    x = models.predict_points(p, fitted["weights"], fitted["cells"], fitted["ranges"], fitted["month_mode"])
+    return x.select("event_id", "hour", "day_of_week", "month", "grid_id", r6("score", "score"), "reject")
+
+
 @query("l10_rolling_origin_backtest")
 def backtest(spark, d):
     rows, features = _supervised(spark, d)

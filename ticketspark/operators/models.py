@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, encode, metrics
 from ..session import materialize
 from . import splits, windows
+from .levels import score_by_weights
 from .ordering import hash_ranked
 from .reshape import union_by_name
 from .spatial import snap_to_cell
@@ -363,10 +364,12 @@ def score_geo(model: PipelineModel, encoded: DataFrame) -> DataFrame:
 
 
 def predict_points(
-    points: DataFrame, model: PipelineModel, cells: DataFrame, ranges: dict[str, tuple[float, float]], month_mode: Column | int
+    points: DataFrame, model: PipelineModel | DataFrame, cells: DataFrame, ranges: dict[str, tuple[float, float]], month_mode: Column | int
 ) -> DataFrame:
     """Ticket probability of points given by coordinates and a time, or by hour, weekday and month.
 
+    ``model`` is a fitted pipeline, or a relation of weights (see ``levels``) that is scored by joins.
+
     ``points`` has ``latitude``, ``longitude`` and any of ``when``, ``hour``, ``day_of_week``,
     ``month``. A missing month is the usual one. Rows out of range keep a ``reject`` reason and no score.
     """
@@ -396,6 +399,8 @@ def predict_points(
     good = rows.where(F.col("reject").isNull()).withColumns(
         {"lat_id": encode.grid_id(F.col("latitude")), "lon_id": encode.grid_id(F.col("longitude"))}
     )
-    scored = score_geo(model, geo_encode(good, cells, ranges)).select(*rows.columns, "grid_id", "score")
+    encoded = geo_encode(good, cells, ranges)
+    scored = score_geo(model, encoded) if isinstance(model, PipelineModel) else score_by_weights(encoded, model, GEO_CODES, GEO_CONTINUOUS)
+    scored = scored.select(*rows.columns, "grid_id", "score")
     bad = rows.where(F.col("reject").isNotNull())
     return union_by_name(scored, bad)

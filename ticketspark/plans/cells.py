@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import encode
-from ..operators import aggregate, clean, densify, evaluate, models, spatial, splits
+from ..operators import aggregate, clean, densify, evaluate, levels, models, spatial, splits
 from ..session import materialize
 
 SAMPLE_KEY = ["date", "lat_id", "lon_id", "hour"]
@@ -57,3 +57,22 @@ def fit(events: DataFrame, ratio: float = 1.0, seed: int = 42, trees: bool = Fal
 
 def report(fitted: dict) -> DataFrame:
     return evaluate.ranking_scores(fitted["test"])
+
+
+def fit_weights(events: DataFrame, prior: float = 1.0) -> dict:
+    """Weights of levels from every visited cell's 24 hours a day, with the cell table, coordinate ranges and usual month.
+
+    Nothing is sampled: empty hours are rows of the counting, and only counts of levels are shuffled.
+    ``events`` has date, hour, lat_id, lon_id, latitude and longitude.
+    """
+    hours = materialize(densify.visited_grid(events), "cell-hours")
+    cells = materialize(spatial.cell_ids(events), "cells")
+    parts = {"day_of_week": F.weekday("date"), "month": F.month("date"), "month_code": F.month("date") - 1}
+    rows = spatial.attach_cell_id(hours, cells).withColumns(parts)
+    counts = materialize(levels.level_counts(rows, models.GEO_CODES), "level-counts")
+    return {
+        "weights": levels.level_weights(counts, prior),
+        "cells": cells,
+        "ranges": models.coordinate_ranges(events),
+        "month_mode": aggregate.mode_value(rows, "month").scalar(),
+    }
