@@ -330,3 +330,53 @@ def test_vocabulary_is_bounded_by_bytes(monkeypatch):
     assert small.encode(text) == wanted and small.encode("x" * 5000 + " end") == own.encode("x" * 5000 + " end")
     monkeypatch.setattr(packing, "REMEMBERED", 20_000)
     assert small.encode(text) == wanted and small._bytes <= 250_000
+
+
+def test_whole_licence_texts(spark):
+    """Every wording of a template is accepted whole; openings, altered, added and missing words are not."""
+    import re
+
+    scanner = licenses.make_scanner()
+    rng = random.Random(7)
+
+    def wording(template):
+        out, optional = [], []
+        for k, piece in enumerate(re.split(r"<<(.*?)>>", template)):
+            if k % 2 == 0:
+                words = piece.split()
+                out += words if all(optional) else []
+            elif piece == "beginOptional":
+                optional.append(rng.random() < 0.5)
+            elif piece == "endOptional":
+                optional.pop()
+            elif all(optional):
+                least, most = map(int, piece.split(";")[1:])
+                out += ["Acme"] * rng.randint(least, most)
+        return out
+
+    def found(words):
+        text = " ".join(words)
+        labels = {label for label, _, _ in scanner.scan(text.encode())[2]}
+        clean = " " + " ".join(licenses.normalised(text.encode()).decode().split()) + " "
+        assert labels == {label for label, t in licenses.TEMPLATES if re.search(" " + licenses.as_regex(t), clean)}
+        return labels
+
+    named = {label for label, _ in licenses.NOTICES}
+    for label, template in licenses.TEXTS:
+        for _ in range(6):
+            words = wording(template)
+            assert label in found(["Copyright", "2020", *words, "end"])
+            half = words[: len(words) // 2]
+            assert found(half) <= named - {"mit"}
+            for _ in range(4):
+                # these words are mandatory wherever they stand
+                at = rng.choice([i for i, w in enumerate(words) if w.strip(".,;:()").lower() in ("provided", "without", "subject", "conditions")])
+                assert label not in found([*words[: at + 1], "except", "that", "commercial", "use", "resale", "and", "military", "use", "are", "forbidden", *words[at + 1 :]])
+                assert label not in found(words[:at] + words[at + 1 :])
+            assert label not in found(words[:-3])  # a replaceable region may end the text
+    stump = b"Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction except that military use is forbidden"
+    assert scanner.scan(stump)[2] == []
+    whole = " ".join(wording(dict(licenses.TEXTS)["mit"]))
+    docs = spark.createDataFrame([(1, whole), (2, stump.decode()), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(docs).collect()}
+    assert got == {1: ("mit", 1.0), 2: ("", 0.0), 3: ("", 0.0)}

@@ -136,35 +136,75 @@ def find_phrase(words: list[bytes], phrase: list[bytes]) -> list[int]:
 # fixed values: the given phrases and their labels
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 
-# fixed values: notices that name a licence, and openings of licence texts
-TEMPLATES = [
+# fixed values: notices that name a licence
+NOTICES = [
     ("mit", "<<beginOptional>>is <<endOptional>>released under the <<beginOptional>>terms of the <<endOptional>>MIT License"),
     ("mit", "<<beginOptional>>is <<endOptional>>licensed under the <<beginOptional>>terms of the <<endOptional>>MIT License"),
-    (
-        "mit",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation <<beginOptional>>files <<endOptional>><<beginOptional>>(the <<var;1;2>>) <<endOptional>>, to deal in the <<var;1;2>> "
-        "without restriction",
-    ),
-    (
-        "apache-2",
-        "Licensed under the Apache License, Version 2<<beginOptional>>.0<<endOptional>> <<beginOptional>>(the <<var;1;2>>)"
-        "<<beginOptional>>; you may not use this file except in compliance with the <<var;1;2>><<endOptional>><<endOptional>>",
-    ),
+    ("apache-2", "Licensed under the Apache License, Version 2<<beginOptional>>.0<<endOptional>>"),
     ("cc-by-nc", "licensed under <<beginOptional>>a <<endOptional>>CC BY-NC<<beginOptional>> <<var;1;2>><<endOptional>>"),
     (
         "gpl",
         "<<beginOptional>>This work is <<endOptional>>licensed under the <<beginOptional>>terms of the <<endOptional>>GNU General Public "
         "License<<beginOptional>>, version <<var;1;2>><<endOptional>>",
     ),
+    ("proprietary", "<<beginOptional>>Copyright <<var;1;6>> <<endOptional>>All rights reserved"),
+]
+
+# fixed values: licence texts, whole, from the grant to the end of the disclaimer
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "<<beginOptional>>(subject to the limitations in the disclaimer below) <<endOptional>>provided that the following "
+    "conditions are met: <<beginOptional>>1. <<endOptional>>Redistributions of source code must retain the above copyright notice, this "
+    "list of conditions and the following disclaimer. <<beginOptional>>2. <<endOptional>>Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+    "provided with the distribution. "
+)
+_BSD_ENDORSEMENT = (
+    "<<beginOptional>>3. <<endOptional>>Neither the name of <<var;1;12>> nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission. "
+)
+_BSD_DISCLAIMER = (
+    "This software is provided by <<var;1;12>> as is and any express or implied warranties, including, but not limited to, the implied "
+    "warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall <<var;1;12>> be liable for any "
+    "direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of "
+    "substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of "
+    "liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use "
+    "of this software, even if advised of the possibility of such damage."
+)
+TEXTS = [
     (
-        "bsd",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted "
-        "<<beginOptional>>(subject to the limitations in the disclaimer below) <<endOptional>>provided that the following "
-        "conditions are met",
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the <<var;1;2>>), to deal in the <<var;1;2>> without restriction, including without limitation the rights "
+        "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the <<var;1;2>>, and to permit persons to "
+        "whom the <<var;1;2>> is furnished to do so, subject to the following conditions: The above copyright notice and this permission "
+        "notice <<beginOptional>>(including the next paragraph) <<endOptional>>shall be included in all copies or substantial portions of "
+        "the <<var;1;2>>. The <<var;1;2>> is provided as is, without warranty of any kind, express or implied, including but not limited "
+        "to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall <<var;1;12>> be "
+        "liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or "
+        "in connection with the <<var;1;2>> or the use or other dealings in the <<var;1;2>>.",
+    ),
+    ("bsd-2", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+    ("bsd-3", _BSD_CONDITIONS + _BSD_ENDORSEMENT + _BSD_DISCLAIMER),
+    (
+        "isc",
+        "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without "
+        "fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. The software is "
+        "provided as is and <<var;1;12>> disclaims all warranties with regard to this software including all implied warranties of "
+        "merchantability and fitness. In no event shall <<var;1;12>> be liable for any special, direct, indirect, or consequential damages "
+        "or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other "
+        "tortious action, arising out of or in connection with the use or performance of this software.",
+    ),
+    (
+        "apache-2-header",
+        "Licensed under the Apache License, Version 2.0 (the <<var;1;2>>); you may not use this <<var;1;3>> except in compliance with the "
+        "<<var;1;2>>. You may obtain a copy of the <<var;1;2>> at <<var;1;1>>://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        "applicable law or agreed to in writing, software distributed under the <<var;1;2>> is distributed on an as is basis, without "
+        "warranties or conditions of any kind, either express or implied. See the <<var;1;2>> for the specific language governing "
+        "permissions and limitations under the <<var;1;2>>.",
     ),
-    ("proprietary", "<<beginOptional>>Copyright <<var;1;6>> <<endOptional>>All rights reserved"),
 ]
+TEMPLATES = [*NOTICES, *TEXTS]
 
 
 @dataclass(frozen=True)
