@@ -380,3 +380,29 @@ def test_whole_licence_texts(spark):
     docs = spark.createDataFrame([(1, whole), (2, stump.decode()), (3, None)], "doc_id long, text string")
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(docs).collect()}
     assert got == {1: ("mit", 1.0), 2: ("", 0.0), 3: ("", 0.0)}
+
+
+def test_quality_cascade_stops_at_the_first_rejection(spark, data):
+    from pyspark.sql import functions as F
+
+    from ticketspark.llm import quality
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    odd = [(-1, None), (-2, ""), (-3, "a b " * 40), (-4, "#$ " * 60), (-5, "x\n" * 80), (-6, "y" * 5000 + " ab" * 3), (-7, " ".join(map(str, range(60))))]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    whole = {r.doc_id for r in quality.judge(docs).where("kept").collect()}
+    lazy = quality.passed(docs)
+    assert {r.doc_id for r in lazy.collect()} == whole and not whole & {-1, -2, -3, -4, -5, -6}
+    # the text is split into words once
+    one = quality.passed(spark.read.parquet(f"{data}/documents.parquet"))
+    assert one._jdf.queryExecution().optimizedPlan().toString().count(quality.SPACE + ", -1") == 1
+    # a rule behind another one never sees what that one rejects
+    rules = {
+        "short": lambda t, w: F.size(w) < 50,
+        "late": lambda t, w: F.when(F.size(w) < 50, F.raise_error(F.lit("was asked"))).otherwise(F.lit(False)).cast("boolean"),
+    }
+    kept = docs.where(quality.verdict(F.col("text"), rules, ["short", "late"]))
+    assert kept.count() == docs.where(F.size(quality.words(F.coalesce("text", F.lit("")))) >= 50).count()
+    with pytest.raises(Exception, match="was asked"):
+        docs.where(quality.verdict(F.col("text"), rules, ["late", "short"])).count()
+    assert quality.passed(docs.limit(0)).count() == 0
