@@ -21,7 +21,7 @@ TOXIC = 0.7
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
-    return quality.judge(rows).where("kept").select("doc.*")
+    return quality.passed(rows).select("doc.*")
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
