@@ -332,6 +332,40 @@ def test_vocabulary_is_bounded_by_bytes(monkeypatch):
     assert small.encode(text) == wanted and small._bytes <= 250_000
 
 
+def test_vocabulary_keeps_frequent_pieces(monkeypatch):
+    """A piece that comes again and again is merged once, however many others pass; spellings share its merges."""
+    monkeypatch.setattr(packing, "REMEMBERED", 400_000)
+    own, merged = packing.Vocabulary(packing.default_path()), []
+    merge = own._merge
+    own._merge = lambda word: merged.append(word) or merge(word)
+    rng = random.Random(9)
+    fresh = ["".join(rng.choice("abcdefghij") for _ in range(12)) for _ in range(4000)]
+    for word in fresh:
+        own.encode(f"Often {word.capitalize()}, often.")
+    assert merged.count("often") == 1 and len(merged) == 1 + len(set(fresh))
+    assert own._bytes <= 200_000 and len(own) + len(own._older) < 2000
+
+
+def test_vocabulary_of_many_texts(monkeypatch):
+    """All texts of an array at once, by any block: what each gives alone, and each piece is looked up once."""
+    import pyarrow as pa
+
+    own = packing.Vocabulary(packing.default_path())
+    rng = random.Random(10)
+    parts = ["a", "Word,", "word", "É.", "ß", "İ", " ", "\n", "\t", "...", "'s", "1", "語", "", "x" * 90]
+    texts = [None, "", " ", *(" ".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(300)), None]
+    wanted = [own.encode(t or "") for t in texts]
+    for block in (1, 200, 1 << 20):
+        monkeypatch.setattr(packing, "TOGETHER", block)
+        assert list(own.encode_all(pa.array(texts))) == wanted
+        assert list(own.encode_all(pa.array(texts).slice(7, 100))) == wanted[7:107]
+    assert list(own.encode_all(pa.array([], pa.string()))) == []
+    asked = []
+    own._tokenizer = type("Whole", (), {"encode": lambda _, piece, tok=own._tokenizer, **kw: asked.append(piece) or tok.encode(piece, **kw)})()
+    long = "".join(rng.choice("語文字") for _ in range(20_000))  # too long to be remembered
+    assert len(set(own.encode_all(pa.array([long] * 3)))) == 1 and asked == [long]
+
+
 def test_whole_licence_texts(spark):
     """Every wording of a template is accepted whole; openings, altered, added and missing words are not."""
     import re
