@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import BROADCAST_ROWS
-from ..session import materialize
+from ..session import in_small_batches, materialize
 from .registry import query, table
 from .worker import only
 
@@ -192,7 +192,7 @@ def _features(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["key", "n_shingles", "set_id", "tokens", "sketch"])
 
     given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text"))
-    return given.mapInArrow(rows, "key long, n_shingles long, set_id binary, tokens binary, sketch binary")
+    return in_small_batches(given).mapInArrow(rows, "key long, n_shingles long, set_id binary, tokens binary, sketch binary")
 
 
 def _first_paths(classes: DataFrame, trees: int) -> DataFrame:
@@ -277,7 +277,7 @@ def _squeezed(texts: DataFrame) -> DataFrame:
             small = pa.array([pack.compress(v.as_buffer()) for v in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), small], names=["key", "text"])
 
-    return texts.mapInArrow(rows, "key long, text binary")
+    return in_small_batches(texts).mapInArrow(rows, "key long, text binary")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -305,7 +305,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     texts = materialize(having(texts, wanted, "key", "left_semi"), "pair-texts")
     left = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
+    return in_small_batches(both).select("a", "b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
 
 
 def _compare(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:

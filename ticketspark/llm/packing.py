@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import in_small_batches, materialize
 from .registry import query, table, without
 from .worker import held
 
@@ -221,7 +221,7 @@ def tokenize(
             yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*keep, *added])
 
     kept = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in keep)
-    return df.select(*[df[c] for c in keep], df[text].alias("_text")).mapInArrow(
+    return in_small_batches(df).select(*[df[c] for c in keep], df[text].alias("_text")).mapInArrow(
         rows, kept + "start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     )
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,9 +173,13 @@ def order_rules(sample: DataFrame, rules: Mapping[str, Rule], text: str = "text"
 
 
 def sample_of(docs: DataFrame, text: str = "text") -> DataFrame:
-    """At most ``SAMPLE_ROWS`` texts, picked by hash; reads only as many partitions as that takes."""
+    """At most ``SAMPLE_ROWS`` texts, picked by hash; reads only as many partitions as that takes.
+
+    The rows go back as an Arrow table: a list of rows would pass through Python workers in every job over them.
+    """
     picked = docs.select(F.col(text).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE_STEP)) == 0)
-    return docs.sparkSession.createDataFrame(picked.take(SAMPLE_ROWS), "text string")
+    texts = pa.array([r["text"] for r in picked.take(SAMPLE_ROWS)], pa.string())
+    return docs.sparkSession.createDataFrame(pa.table({"text": texts}), "text string")
 
 
 def verdict(text: Column, rules: Mapping[str, Rule], order: list[str]) -> Column:

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import in_small_batches, materialize
 from .licenses import normalised
 from .registry import query, table
 from .worker import held
@@ -231,6 +231,7 @@ class _Rows:
         listed = rows.sparkSession.createDataFrame(places, "_digest string, _label int, _at long, _trains boolean")
         placed = rows.join(F.broadcast(listed), ["_digest", "_label"]).dropDuplicates(["_digest"])
         placed = materialize(placed.select("_label", "_at", "_trains", "_text"), "toxicity-sample")
+        placed = in_small_batches(placed)
         self._curve = placed.where(~F.col("_trains")).select("_label", "_at", "_text")
 
         def distinct(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
@@ -367,7 +368,7 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "s
         return pd.Series([model.score(costs, t) for t in texts], dtype="float64")
 
     given = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return df.withColumn(score, scored(given))
+    return in_small_batches(df).withColumn(score, scored(given))
 
 
 def held_out(key: Column) -> Column:

@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that a task hands to its Python worker at once; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+
 
 def get_session(app: str = "ticketspark", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators assume: UTC and adaptive execution."""
@@ -46,6 +49,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/ticketspark/{name}-{uuid.uuid4().hex}"
 
 
+def in_small_batches(df: DataFrame, size: int = BATCH_BYTES) -> DataFrame:
+    """``df``, whose session from now on hands rows to Python workers in batches of about ``size`` bytes.
+
+    Spark's own bound is 64 MiB, and a batch of whole texts stands in the JVM and in the worker, in each of an
+    executor's tasks. Results do not depend on it; a smaller bound of the session stays.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)([bkmgtp]?)b?", (conf.get(name, None) or "").lower())
+    if not now or int(now[1]) * 1024 ** "bkmgtp".index(now[2] or "b") > size:
+        conf.set(name, str(size))
+    return df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
