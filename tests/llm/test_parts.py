@@ -366,6 +366,61 @@ def test_vocabulary_of_many_texts(monkeypatch):
     assert len(set(own.encode_all(pa.array([long] * 3)))) == 1 and asked == [long]
 
 
+def test_vocabulary_splits_words_from_marks():
+    """Any mix of Latin letters, digits and marks: the whole tokenizer's ids, by itself and among others."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = packing.default_path()
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    own = packing.Vocabulary(path)
+    rng = random.Random(12)
+    parts = ["Word", "é", "SS", "ß", "ÿ", "Øre", "a", "'", "'s", "'LL", "d", *"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "7", "42", "\x7f", "\x00", "×", "º", "µ", "ſ", "K", "²", "H\u0331", "\u0301", " ", "\t", "w" * 70, "É" * 33]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for encoded in (map(own.encode, texts), own.encode_all(pa.array(texts)), own.encode_all(pa.array(texts, pa.large_string()))):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoded] == wanted
+
+
+def test_vocabulary_takes_marks_from_words():
+    """Marks after a word or between words need only the words' merges, once a word, not the whole tokenizer for each piece."""
+    import pyarrow as pa
+
+    own = packing.Vocabulary(packing.default_path())
+    asked, merged, merge, whole = [], [], own._merge, own._tokenizer
+    own._merge = lambda word: merged.append(word) or merge(word)
+    own._tokenizer = type("Whole", (), {"encode": lambda _, piece, **kw: asked.append(piece) or whole.encode(piece, **kw)})()
+    text = "Word*** word### WORD.&&& word), (word) word-word's Straße... STRASSE'"
+    for _ in range(2):
+        (ids,) = own.encode_all(pa.array([text]))
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(set(merged)) == 3 and len(merged) <= 4 and {"strasse", "word"} < set(merged)
+    assert not [piece for piece in asked if any(c.isalpha() for c in piece) and "'" not in piece]
+
+
+def test_vocabulary_table_is_bounded_and_keeps_frequent_words(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "TABLE", 40_000)
+    monkeypatch.setattr(packing, "FEW", 1000)
+    own, merged = packing.Vocabulary(packing.default_path()), []
+    merge, rng = own._merge, random.Random(13)
+    own._merge = lambda word: merged.append(word) or merge(word)
+    fresh = ["".join(rng.choice("abcdefghij") for _ in range(12)) for _ in range(4000)]
+    for at in range(0, 4000, 100):
+        list(own.encode_all(pa.array([f"Often {word}, often." for word in fresh[at : at + 100]])))
+        assert sum(x.nbytes for x in own._table) <= 40_000
+    assert merged.count("often") == 1 and len(merged) == 1 + len(set(fresh))
+    table = own._table
+    monkeypatch.setattr(packing, "FEW", 8)
+    few = [f"Some {fresh[0]}. few, words"]
+    assert [*own.encode_all(pa.array(few))] == [packing.Vocabulary(packing.default_path()).encode(few[0])] and own._table is table
+    monkeypatch.setattr(packing, "FEW", 1000)
+    monkeypatch.setattr(packing, "TABLE", 0)
+    assert [*own.encode_all(pa.array(["often a"]))] == [own.encode("often a")] and len(own._table[0]) == 0
+
+
 def test_whole_licence_texts(spark):
     """Every wording of a template is accepted whole; openings, altered, added and missing words are not."""
     import re
